@@ -235,8 +235,6 @@ def _typed_select() -> str:
         kind = field.dataType.typeName()
         if kind == "integer":
             out.append(_big(_q(field.name), _q(field.name)))
-        elif kind == "double":
-            out.append(_r(_q(field.name), _q(field.name)))
         else:
             out.append(_q(field.name))
     return ", ".join(out)
@@ -576,13 +574,13 @@ def all_oracles() -> dict[str, str]:
         f"WHERE year({d}) NOT BETWEEN 2000 AND 2025"
         for d in ("pq_date", "po_date", "scheduled_date", "delivered_date", "recorded_date")]))
     heads["text_number_split"] = _from_parsed(
-        f'SELECT "ID", "Item Description", freight_flag, {_r("freight_numeric")} FROM parsed')
+        'SELECT "ID", "Item Description", freight_flag, freight_numeric FROM parsed')
     heads["weight_clean"] = _from_parsed(
-        f'SELECT "ID", "Item Description", {_r("weight_numeric")}, flag_weight_reference, '
+        'SELECT "ID", "Item Description", weight_numeric, flag_weight_reference, '
         "flag_weight_not_positive FROM parsed")
     numbers = ("qty", "line_value", "pack_price", "unit_price", "insurance", "uom")
     heads["to_numeric"] = _from_parsed(
-        'SELECT "ID", "Item Description", ' + ", ".join(_r(c) for c in numbers) + " FROM parsed")
+        'SELECT "ID", "Item Description", ' + ", ".join(numbers) + " FROM parsed")
     heads["zero_flag"] = _from_parsed(
         "SELECT flag_zero_value, count(*) AS n FROM parsed GROUP BY ALL")
     heads["iqr_outlier_flags"] = _from_prepared(_union([
@@ -601,7 +599,7 @@ def all_oracles() -> dict[str, str]:
         "SELECT id, " + ", ".join(_big(s, s) for s in _SEGMENTS)
         + """, coalesce(least(c1_pq2po, c2_po2sched, c_total) < 0, false) AS flag_negative_cycle
         FROM lines""")
-    heads["unit_freight"] = _lines(f"""SELECT id, {_r('unit_freight')},
+    heads["unit_freight"] = _lines(f"""SELECT id, unit_freight,
       coalesce(unit_freight > {EXTREME_UNIT_FREIGHT}, false) AS flag_unit_freight_extreme
       FROM lines""")
     heads["calendar"] = _lines(f"""SELECT id, {_big('delivery_year', 'delivery_year')},
@@ -764,9 +762,9 @@ def all_oracles() -> dict[str, str]:
     heads["significant_pairs"] = _lines(
         f"SELECT {pair}, {_r('q')} FROM adjusted WHERE q < 0.9", _pooled("country", None),
         _RANKED, _PAIRS, _PAIR_P, _bh("tested"))
-    heads["bh_fdr"] = _lines(f"SELECT id, item, test_id, {_r('p')}, {_r('q')} FROM adjusted",
+    heads["bh_fdr"] = _lines("SELECT id, item, test_id, p, q FROM adjusted",
                              _P_VALUES, _bh("pv", "test_id"))
-    heads["bh_fdr_single"] = _lines(f"SELECT id, item, {_r('p')}, {_r('q')} FROM adjusted",
+    heads["bh_fdr_single"] = _lines("SELECT id, item, p, q FROM adjusted",
                                     _P_VALUES, _bh("pv"))
     interval = "coef - tq * std_err", "coef + tq * std_err"
     heads["ols_drivers"] = _lines_recursive(f"""SELECT term, {_r('coef')}, {_r('std_err')},

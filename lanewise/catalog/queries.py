@@ -19,7 +19,7 @@ from lanewise.catalog.tables import (
     raw_lines,
     scratch_folder,
 )
-from lanewise.functions.expressions import clip
+from lanewise.functions.expressions import clip, sql_name
 from lanewise.operators import chartdata, crosstab, metrics, ordering, quality, scoring, stats
 from lanewise.operators.features import (
     collapse_rare,
@@ -31,6 +31,7 @@ from lanewise.operators.features import (
     with_numeric_freight,
 )
 from lanewise.operators.regression import Fit, coef_order, ols_drivers
+from lanewise.operators.sharing import settled
 from lanewise.plans.prepare import parse, prepare
 from lanewise.schema import OUTLIER_COLUMNS
 from lanewise.sources.delivery import read_cleaned, read_raw, write_cleaned
@@ -50,21 +51,25 @@ SCORE = ["vendor", "asn", "delay_days", "line_value"]
 _QUERIES: dict[str, Query] = {}
 
 
-def _tidy(df: DataFrame) -> DataFrame:
+def _tidy(df: DataFrame, places: int | None = 6) -> DataFrame:
     out = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        column = F.col(sql_name(field.name))
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, 6) + F.lit(0.0)
+            if places is not None:
+                column = F.round(column, places)
+            column = column + F.lit(0.0)
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("long")
         out.append(column.alias(field.name))
     return df.select(*out)
 
 
-def _query(name: str):
+def _query(name: str, places: int | None = 6):
+    """Register a query; ``places=None`` leaves values that are exact in any engine alone."""
+
     def register(function: Query) -> Query:
-        _QUERIES[name] = lambda spark, folder: _tidy(function(spark, folder))
+        _QUERIES[name] = lambda spark, folder: _tidy(function(spark, folder), places)
         return function
 
     return register
@@ -104,15 +109,14 @@ def read_raw_csv(spark, folder):
     return read_raw(spark, path)
 
 
-@_query("read_cleaned")
+@_query("read_cleaned", places=None)
 def read_cleaned_parquet(spark, folder):
     path = scratch_folder(spark)
-    cleaned = prepare(raw_lines(spark, folder), f"{path}/staging", EXTREME_UNIT_FREIGHT)
-    write_cleaned(cleaned, f"{path}/cleaned")
-    return read_cleaned(spark, f"{path}/cleaned")
+    write_cleaned(_prepared(spark, folder), path)
+    return read_cleaned(spark, path)
 
 
-@_query("write_cleaned")
+@_query("write_cleaned", places=None)
 def write_cleaned_csv(spark, folder):
     path = scratch_folder(spark)
     write_cleaned(_prepared(spark, folder), path, fmt="csv")
@@ -120,7 +124,8 @@ def write_cleaned_csv(spark, folder):
 
 
 def _prepared(spark, folder):
-    return prepare(raw_lines(spark, folder), extreme_unit_freight=EXTREME_UNIT_FREIGHT)
+    staging = scratch_folder(spark)
+    return prepare(raw_lines(spark, folder), staging, EXTREME_UNIT_FREIGHT)
 
 
 @_query("profile")
@@ -198,18 +203,18 @@ def year_range_check(spark, folder):
     return quality.count_where(rows, {d: quality.implausible_year(d) for d in dates})
 
 
-@_query("text_number_split")
+@_query("text_number_split", places=None)
 def text_number_split(spark, folder):
     return _parsed(spark, folder, "ID", "Item Description", "freight_flag", "freight_numeric")
 
 
-@_query("weight_clean")
+@_query("weight_clean", places=None)
 def weight_clean(spark, folder):
     return _parsed(spark, folder, "ID", "Item Description", "weight_numeric",
                    "flag_weight_reference", "flag_weight_not_positive")
 
 
-@_query("to_numeric")
+@_query("to_numeric", places=None)
 def to_numeric(spark, folder):
     return _parsed(spark, folder, "ID", "Item Description", "qty", "line_value", "pack_price",
                    "unit_price", "insurance", "uom")
@@ -247,7 +252,7 @@ def cycle_features(spark, folder):
         "id", "c1_pq2po", "c2_po2sched", "c3_sched2deliv", "c_total", "flag_negative_cycle"])
 
 
-@_query("unit_freight")
+@_query("unit_freight", places=None)
 def unit_freight(spark, folder):
     return delivery_lines(spark, folder, ["id", "unit_freight", "flag_unit_freight_extreme"])
 
@@ -420,14 +425,15 @@ def _scorecard(spark, folder):
 
 @_query("minmax_norm")
 def minmax_norm(spark, folder):
-    rows = _vendor_metrics(spark, folder)
-    rows = scoring.minmax(rows, "avg_late", "late_norm", invert=True)
-    return scoring.minmax(rows, "value", "value_norm").select("vendor", "late_norm", "value_norm")
+    normed = scoring.minmax(
+        settled(_vendor_metrics(spark, folder)),
+        {"avg_late": "late_norm", "value": "value_norm"}, inverted=["avg_late"])
+    return normed.select("vendor", "late_norm", "value_norm")
 
 
 @_query("weighted_score")
 def weighted_score(spark, folder):
-    parts = scoring.score_parts(_vendor_metrics(spark, folder))
+    parts = scoring.score_parts(settled(_vendor_metrics(spark, folder)))
     return scoring.weighted_score(parts).select("vendor", "score")
 
 
@@ -559,12 +565,12 @@ def _p_values(spark, folder):
     return rows.select("id", "item", F.col("country").alias("test_id"), p.alias("p"))
 
 
-@_query("bh_fdr")
+@_query("bh_fdr", places=None)
 def bh_fdr(spark, folder):
     return stats.bh_fdr(_p_values(spark, folder), "p", "test_id")
 
 
-@_query("bh_fdr_single")
+@_query("bh_fdr_single", places=None)
 def bh_fdr_single(spark, folder):
     return stats.bh_fdr(_p_values(spark, folder).drop("test_id"), "p")
 

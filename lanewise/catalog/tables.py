@@ -11,9 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanewise.functions.parsing import MONTH_NAME_DATE, SLASH_DATE
-from lanewise.operators.features import calendar, cycle_features, delay_features, unit_freight
+from lanewise.operators.features import (
+    SEGMENTS,
+    calendar,
+    cycle_features,
+    delay_features,
+    unit_freight,
+)
 from lanewise.schema import RAW_COLUMNS, Columns
 
 ROLES = Columns(
@@ -45,8 +52,15 @@ _NEEDS = {
 }
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; its footer is read for the schema only the first time."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _star(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
@@ -172,9 +186,16 @@ def delivery_lines(spark: SparkSession, folder: str, columns: Sequence[str]) ->
     if _SUPPLIER in needed:
         base["vendor"] = F.col("s_name")
     df = df.select(*[c.alias(name) for name, c in base.items()])
-    if _ORDER in needed:
-        df = cycle_features(delay_features(df))
-    df = calendar(unit_freight(df, extreme=EXTREME_UNIT_FREIGHT))
+    derived = {
+        ("delay_days", "ot_bool", "early_bool"): delay_features,
+        (*SEGMENTS, "flag_negative_cycle"): cycle_features,
+        ("delivery_year", "delivery_month"): calendar,
+        ("unit_freight", "flag_unit_freight_extreme"):
+            lambda rows: unit_freight(rows, extreme=EXTREME_UNIT_FREIGHT),
+    }
+    for names, derive in derived.items():
+        if not set(names).isdisjoint(columns):
+            df = derive(df)
     return df.select(*columns)
 
 

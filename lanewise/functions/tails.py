@@ -6,11 +6,16 @@ Only test results (one row per test, pair or coefficient) pass through here.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship these functions with the tasks, so that workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _gamma_upper(a: float, x: float) -> float:
     """Regularised upper incomplete gamma: power series, then Lentz's continued fraction."""

@@ -15,9 +15,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.operators.sharing import checked_broadcast, materialize
+from lanewise.functions.expressions import sql_name
+from lanewise.operators.sharing import checked_broadcast, materialize, settled
 
-BUCKETS = 512
+BUCKETS = 1024
+MIN_BUCKETS = 8
+ROWS_PER_BUCKET = 50_000
 SPREAD = 64
 _EVERYTHING = "_all"
 
@@ -29,11 +32,19 @@ def numeric_rows(df: DataFrame, value: str) -> DataFrame:
 
 
 def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` finite, distinct approximate quantiles."""
-    steps = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(value, steps, 20 * buckets).alias("cuts")).first()["cuts"]
+    """At most ``buckets - 1`` finite, distinct approximate quantiles.
+
+    Small inputs get fewer, so that a bucket stands for ``ROWS_PER_BUCKET`` rows or more.
+    """
+    steps = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    name = sql_name(value)
+    found = df.agg(
+        F.expr(f"percentile_approx({name}, array({steps}), {10 * buckets})").alias("cuts"),
+        F.count(value).alias("n"),
+    ).first()
+    stride = max(1, buckets // max(MIN_BUCKETS, found["n"] // ROWS_PER_BUCKET))
     cuts: list[float] = []
-    for cut in sorted({c for c in found or [] if math.isfinite(c)}):
+    for cut in sorted({c for c in (found["cuts"] or [])[::stride] if math.isfinite(c)}):
         if not cuts or cut > math.nextafter(cuts[-1], math.inf):
             cuts.append(cut)
     return cuts or [0.0]
@@ -101,8 +112,8 @@ def order_statistics(
         F.max("_v").alias("_max"),
         *[F.sum(a).alias(a) for a in sums],
     )
-    counted = materialize(
-        counted.withColumn("n", F.sum("_n").over(group)).withColumn("_start", _before("_n", group))
+    counted = settled(
+        counted.select("*", F.sum("_n").over(group).alias("n"), _before("_n", group).alias("_start"))
     )
     summary = counted.groupBy(*keys).agg(
         F.sum("_n").alias("n"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,29 +10,37 @@ from pyspark.sql import functions as F
 from lanewise.operators.crosstab import abc_lookup
 from lanewise.operators.metrics import score_split, vendor_metrics
 from lanewise.operators.ordering import row_position, running_share
-from lanewise.operators.sharing import materialize
+from lanewise.operators.sharing import settled
 
 WEIGHTS = {"otd": 0.40, "delay": 0.30, "value": 0.20, "freq": 0.10}
 ABC_LIMITS = {"A": 0.70, "B": 0.90}
 
 
-def minmax(df: DataFrame, column: str, out: str, invert: bool = False) -> DataFrame:
-    """Scale a column to 0-100 (100 is the smallest value if inverted); constant gives 100."""
-    ends = df.agg(
-        F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("ends")
-    ).scalar()
-    low, high = ends["low"], ends["high"]
-    offset = high - F.col(column) if invert else F.col(column) - low
-    scaled = F.try_divide(offset, high - low) * 100
-    return df.withColumn(out, F.when(high > low, scaled).otherwise(100.0))
+def minmax(df: DataFrame, columns: Mapping[str, str], inverted: Sequence[str] = ()) -> DataFrame:
+    """Scale columns to 0-100; a constant column gives 100.
+
+    ``columns`` maps each column to its output. For ``inverted`` ones the smallest value
+    gets 100. The ends of all columns come from one aggregate.
+    """
+    ends = df.agg(F.struct(*[
+        end(name).alias(f"{label}_{i}")
+        for i, name in enumerate(columns) for label, end in (("low", F.min), ("high", F.max))
+    ]).alias("ends")).scalar()
+    scaled = {}
+    for i, (name, out) in enumerate(columns.items()):
+        low, high = ends[f"low_{i}"], ends[f"high_{i}"]
+        offset = high - F.col(name) if name in inverted else F.col(name) - low
+        scaled[out] = F.when(high > low, F.try_divide(offset, high - low) * 100).otherwise(100.0)
+    return df.withColumns(scaled)
 
 
 def score_parts(metrics: DataFrame) -> DataFrame:
     """The four parts of the score; on-time share enters as it is."""
-    df = metrics.withColumn("s_otd", F.col("otd"))
-    df = minmax(df, "avg_late", "s_delay", invert=True)
-    df = minmax(df, "value", "s_value")
-    return minmax(df, "lines", "s_freq")
+    return minmax(
+        metrics.withColumn("s_otd", F.col("otd")),
+        {"avg_late": "s_delay", "value": "s_value", "lines": "s_freq"},
+        inverted=["avg_late"],
+    )
 
 
 def weighted_score(parts: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
@@ -84,7 +92,7 @@ def scorecard(
 
     The rows are read once: the vendor table is kept, everything after it is vendor-sized.
     """
-    metrics = materialize(vendor_metrics(df, vendor, shipment, delay, value))
+    metrics = settled(vendor_metrics(df, vendor, shipment, delay, value))
     classes = abc_class(metrics, vendor, limits)
     scored, watch = score_split(metrics, min_lines)
     ranked = score_rank(weighted_score(score_parts(scored), weights), vendor)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+SETTLED_ROWS = 200_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -23,13 +24,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _local(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """The rows as a local relation, or None if there are more than ``max_rows``.
+
+    At most ``max_rows + 1`` rows are fetched.
+    """
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(head, schema=df.schema)
+
+
+def settled(df: DataFrame, max_rows: int = SETTLED_ROWS) -> DataFrame:
+    """Keep a grouped result that is used more than once: locally if small, else on storage."""
+    local = _local(df, max_rows)
+    return materialize(df) if local is None else local
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` if it has at most ``max_rows`` rows, else leave the join to shuffle.
 
-    At most ``max_rows + 1`` rows are fetched; a side within the bound becomes a local
-    relation, so it is not computed a second time by the join.
+    A side within the bound becomes a local relation, so the join does not compute it again.
     """
-    head = small.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(head, schema=small.schema))
+    local = _local(small, max_rows)
+    return small if local is None else F.broadcast(local)

@@ -19,7 +19,7 @@ from lanewise.operators.ordering import (
     numeric_rows,
     with_bucket,
 )
-from lanewise.operators.sharing import checked_broadcast, materialize
+from lanewise.operators.sharing import checked_broadcast, settled
 
 ALPHA = 0.05
 
@@ -38,7 +38,7 @@ def rank_sums(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """``(grp, n, mean_rank, n_total, tie_sum)`` per group, from average ranks over all rows."""
-    counts = materialize(day_counts(df, group, value))
+    counts = settled(day_counts(df, group, value))
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
     ranked = average_ranks(counts, value, "n", buckets=buckets)
@@ -48,7 +48,7 @@ def rank_sums(
         F.sum(F.col("avg_rank") * n).alias("_ranks"),
         F.sum(n * (size * size - 1)).alias("_ties"),
     )
-    return materialize(sums.select(
+    return settled(sums.select(
         "grp", "n",
         (F.col("_ranks") / F.col("n")).alias("mean_rank"),
         F.sum("n").over(_all_rows()).alias("n_total"),

@@ -38,7 +38,7 @@ def _plain(value):
 def _sort_key(row):
     return tuple(
         (v is None, type(v).__name__ if not isinstance(v, (int, float)) else "number",
-         round(v, 4) if isinstance(v, float) else v if v is not None else 0)
+         v if v is not None else 0)
         for v in row
     )
 
