@@ -245,7 +245,7 @@ def _typed_select() -> str:
 
 def _chi2_tail(x: str, df: str) -> str:
     """1 - regularised lower incomplete gamma of (df/2, x/2)."""
-    return f"""CASE WHEN {x} <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 3000),
+    return f"""CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 3000),
       lambda i: exp(({df} / 2.0 + i) * ln({x} / 2.0) - {x} / 2.0 - lgamma({df} / 2.0 + i + 1))))) END"""
 
 
@@ -274,8 +274,8 @@ _RANKED = """ranked AS (SELECT grp, v, rank() OVER (ORDER BY v)
 sums AS (SELECT grp, count(*) AS n, avg(r) AS mean_rank FROM ranked GROUP BY grp),
 whole AS (SELECT CAST(count(*) AS DOUBLE) AS nn,
     sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM ranked)"""
-_H = """test AS (SELECT 12 * sum(n * (mean_rank - (nn + 1) / 2) ** 2) * (nn - 1)
-    / (nn ** 3 - nn - ties) AS h, count(*) - 1 AS df, nn FROM sums, whole GROUP BY nn, ties)"""
+_H = """test AS (SELECT CASE WHEN count(*) > 1 THEN 12 * sum(n * (mean_rank - (nn + 1) / 2) ** 2)
+    * (nn - 1) / nullif(nn ** 3 - nn - ties, 0) END AS h, count(*) - 1 AS df, nn FROM sums, whole GROUP BY nn, ties)"""
 _PAIRS = """pairs AS (SELECT a.grp AS grp_a, b.grp AS grp_b, (a.mean_rank - b.mean_rank)
     / sqrt((nn * (nn + 1) / 12 - ties / (12 * (nn - 1))) * (1.0 / a.n + 1.0 / b.n)) AS z
     FROM sums a JOIN sums b ON a.grp < b.grp, whole)"""

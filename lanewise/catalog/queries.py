@@ -112,7 +112,7 @@ def read_raw_csv(spark, folder):
 @_query("read_cleaned", places=None)
 def read_cleaned_parquet(spark, folder):
     path = scratch_folder(spark)
-    write_cleaned(_prepared(spark, folder), path)
+    write_cleaned(_prepared(spark, folder), path, cluster=False)
     return read_cleaned(spark, path)
 
 

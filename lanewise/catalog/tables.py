@@ -21,6 +21,7 @@ from lanewise.operators.features import (
     delay_features,
     unit_freight,
 )
+from lanewise.operators.sharing import shared_folder
 from lanewise.schema import RAW_COLUMNS, Columns
 
 ROLES = Columns(
@@ -287,7 +288,4 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder next to the session's checkpoints, on storage all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{root}/lanewise-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"

@@ -177,6 +177,15 @@ def value_summary(
     return found.select(*by, "n", "mean", "min", "max", *(sums or {}), *interpolated)
 
 
+def bucket_totals(
+    df: DataFrame, value: str, cuts: Sequence[float], weight: str | None = None
+) -> DataFrame:
+    """``(_bucket, _total, _start)``: at most ``2 * len(cuts) + 1`` rows for any input."""
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    totals = with_bucket(df, value, cuts).groupBy("_bucket").agg(total.alias("_total"))
+    return totals.withColumn("_start", _before("_total", Window.partitionBy(F.lit(0))))
+
+
 def average_ranks(
     df: DataFrame,
     value: str,
@@ -185,24 +194,23 @@ def average_ranks(
     ties: str = "tie_size",
     buckets: int = BUCKETS,
     cuts: Sequence[float] | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Average rank and tie size of each row's value, a row standing for ``weight`` copies.
 
     Count equal rows first, so that repeated values are merged before the shuffle. Pass
-    ``cuts`` if they were already found on cheaper rows.
+    ``cuts`` and ``totals`` if they were already found on cheaper rows.
     """
     rows = numeric_rows(df, value)
     if cuts is None:
         cuts = cut_points(rows, value, buckets)
-    rows = _with_spread(with_bucket(rows, value, cuts))
-    # At most 2 * buckets - 1 rows, whatever the size of the data.
-    totals = rows.groupBy("_bucket").agg(F.sum(weight).alias("_total"))
-    totals = totals.withColumn("_start", _before("_total", Window.partitionBy(F.lit(0))))
-    rows = rows.join(F.broadcast(totals), "_bucket")
+    if totals is None:
+        totals = bucket_totals(rows, value, cuts, weight)
+    rows = _with_spread(with_bucket(rows, value, cuts)).join(F.broadcast(totals), "_bucket")
     inside = Window.partitionBy("_bucket", "_spread").orderBy(value)
     upto = F.sum(weight).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     equal = F.sum(weight).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
-    rows = rows.withColumn("_upto", upto).withColumn("_equal", equal)
+    rows = rows.withColumns({"_upto": upto, "_equal": equal})
     size = F.when(_is_single(), F.col("_total")).otherwise(F.col("_equal"))
     last = F.when(_is_single(), F.col("_total")).otherwise(F.col("_upto"))
     return rows.select(

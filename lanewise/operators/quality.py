@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lanewise.functions.expressions import flag
 from lanewise.operators.ordering import BUCKETS, value_summary
-from lanewise.schema import OUTLIER_COLUMNS, RAW_COLUMNS
+from lanewise.schema import OUTLIER_COLUMNS
 
 FIRST_PLAUSIBLE_YEAR, LAST_PLAUSIBLE_YEAR = 2000, 2025
 
@@ -213,18 +213,25 @@ def decision_log(
     """``(field, issue, treatment, n)``: 27 standing rules, and a row per date column that
     has implausible years.
 
-    Every rule over the cleaned rows is counted in the same pass.
+    Every rule over the cleaned rows is counted in the same pass. ``cleaned`` must be the
+    deduplicated ``raw``: exact duplicates are the difference of the two row counts, which
+    spares a second shuffle of whole rows.
     """
-    raw = raw.select(*RAW_COLUMNS)
-    kept_first = {"ID": ("repeated key", "counted only"),
-                  "full row": ("exact duplicate", "first copy kept"),
-                  "business key": ("repeated business key", "counted only")}
-    issue = F.create_map(*[F.lit(x) for k, v in kept_first.items() for x in (k, v[0])])
-    treatment = F.create_map(*[F.lit(x) for k, v in kept_first.items() for x in (k, v[1])])
-    duplicates = dup_counts(raw, row_id, business_key).select(
-        "field", issue[F.col("field")].alias("issue"),
-        treatment[F.col("field")].alias("treatment"), "n",
-    )
+    def described(counted: DataFrame, issue: str, treatment: str) -> DataFrame:
+        return counted.select(
+            "field", F.lit(issue).alias("issue"), F.lit(treatment).alias("treatment"), "n"
+        )
+
+    kept_rows = cleaned.agg(F.count(F.lit(1)).alias("n")).scalar()
+    full_row = raw.agg(
+        F.lit("full row").alias("field"), F.count(F.lit(1)).alias("n")
+    ).withColumn("n", F.col("n") - kept_rows)
+    duplicates = reduce(DataFrame.unionByName, [
+        described(dup_count(raw, [row_id], "ID"), "repeated key", "counted only"),
+        described(full_row, "exact duplicate", "first copy kept"),
+        described(dup_count(raw, list(business_key), "business key"),
+                  "repeated business key", "counted only"),
+    ])
 
     always = _log_rules()
     if_any = [

@@ -4,47 +4,53 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 SETTLED_ROWS = 200_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint into the session's shared folder, so that lost executors cost no recompute."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a temporary one only where all tasks share a machine."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="lanewise-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint into the session's shared folder, so that lost executors cost no recompute."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _local(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """The rows as a local relation, or None if there are more than ``max_rows``.
+def settle(df: DataFrame, max_rows: int = SETTLED_ROWS) -> tuple[DataFrame, bool]:
+    """Compute ``df`` once, for several uses; also tell whether it has at most ``max_rows``.
 
-    At most ``max_rows + 1`` rows are fetched.
+    A result within the bound becomes a local relation - at most ``max_rows + 1`` rows are
+    fetched - and a larger one is checkpointed from the cached partitions.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
+    cached = df.persist()
+    try:
+        head = cached.limit(max_rows + 1).toArrow()
+        if head.num_rows > max_rows:
+            return materialize(cached), False
+        return df.sparkSession.createDataFrame(head, schema=df.schema), True
+    finally:
+        cached.unpersist()
 
 
 def settled(df: DataFrame, max_rows: int = SETTLED_ROWS) -> DataFrame:
-    """Keep a grouped result that is used more than once: locally if small, else on storage."""
-    local = _local(df, max_rows)
-    return materialize(df) if local is None else local
+    return settle(df, max_rows)[0]
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` if it has at most ``max_rows`` rows, else leave the join to shuffle.
-
-    A side within the bound becomes a local relation, so the join does not compute it again.
-    """
-    local = _local(small, max_rows)
-    return small if local is None else F.broadcast(local)
+    """Broadcast ``small`` if it has at most ``max_rows`` rows, else leave the join to shuffle."""
+    kept, fits = settle(small, max_rows)
+    return F.broadcast(kept) if fits else kept

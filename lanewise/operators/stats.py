@@ -15,11 +15,12 @@ from lanewise.operators.metrics import day_counts
 from lanewise.operators.ordering import (
     BUCKETS,
     average_ranks,
+    bucket_totals,
     cut_points,
     numeric_rows,
     with_bucket,
 )
-from lanewise.operators.sharing import checked_broadcast, settled
+from lanewise.operators.sharing import settle, settled
 
 ALPHA = 0.05
 
@@ -144,8 +145,9 @@ def bh_fdr(
     place = F.col("_start") + F.when(single, F.col("_n")).otherwise(
         F.count(F.lit(1)).over(upwards)
     )
+    totals, fits = settle(totals)
     rows = (
-        rows.join(checked_broadcast(totals), [*keys, "_bucket"])
+        rows.join(F.broadcast(totals) if fits else totals, [*keys, "_bucket"])
         .withColumn("_step", F.col(p) * F.col("_m") / place)
         .withColumn("_within", F.min("_step").over(downwards))
     )
@@ -153,7 +155,8 @@ def bh_fdr(
     above = rows.groupBy(*keys, "_bucket").agg(F.min("_step").alias("_least"))
     above = above.select(*keys, "_bucket", F.min("_least").over(later).alias("_above"))
     q = F.least(F.col("_within"), F.col("_above"), F.lit(1.0))
-    return rows.join(above, [*keys, "_bucket"]).select(*df.columns, q.alias(out))
+    # As many rows as the totals.
+    return rows.join(F.broadcast(above) if fits else above, [*keys, "_bucket"]).select(*df.columns, q.alias(out))
 
 
 def significant_pairs(pairs: DataFrame, threshold: float = ALPHA) -> DataFrame:
@@ -186,8 +189,10 @@ def spearman(
     rows = numeric_rows(numeric_rows(df, x), y).select(x, y)
     x_cuts, y_cuts = cut_points(rows, x, buckets), cut_points(rows, y, buckets)
     counted = rows.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
-    ranked = average_ranks(counted, x, "n", "_rx", "_tx", cuts=x_cuts)
-    ranked = average_ranks(ranked, y, "n", "_ry", "_ty", cuts=y_cuts)
+    ranked = average_ranks(counted, x, "n", "_rx", "_tx", cuts=x_cuts,
+                           totals=bucket_totals(rows, x, x_cuts))
+    ranked = average_ranks(ranked, y, "n", "_ry", "_ty", cuts=y_cuts,
+                           totals=bucket_totals(rows, y, y_cuts))
     centre = (rows.agg(F.count(F.lit(1)).alias("n")).scalar() + 1) / 2
     n, dx, dy = F.col("n").cast("double"), F.col("_rx") - centre, F.col("_ry") - centre
     sums = ranked.agg(

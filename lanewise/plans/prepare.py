@@ -29,6 +29,7 @@ from lanewise.operators.quality import (
     unparsed,
     value_counts,
 )
+from lanewise.sources.delivery import write_by
 
 NUMBER_COLUMNS = {
     "qty": "Line Item Quantity",
@@ -114,12 +115,14 @@ def prepare(
     """Deduplicate, parse, derive, flag outliers.
 
     The fences need a pass over the parsed rows before they can be flagged. With a
-    ``staging`` path the deduplicated rows are written there once and read back column by
-    column; without it they are computed again for every pass.
+    ``staging`` path the deduplicated rows are written there once, by year, and read back
+    column by column; without it they are computed again for every pass. Rows read from
+    staging are already clustered by year, so ``write_cleaned(..., cluster=False)`` needs
+    no shuffle.
     """
     parsed = parse(dedup_full_row(raw), extreme_unit_freight)
     if staging is not None:
-        parsed.write.mode("overwrite").parquet(staging)
+        write_by(parsed, staging, "delivery_year")
         parsed = raw.sparkSession.read.schema(parsed.schema).parquet(staging)
     return iqr_flags(parsed, buckets=buckets)
 
