@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 # Ship these functions with the tasks, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Beyond this many degrees of freedom t and F are taken to their limits with a correction;
+# gamma functions of such size have lost the digits that matter.
+LARGE_DF = 1_000_000
+
 
 def _gamma_upper(a: float, x: float) -> float:
     """Regularised upper incomplete gamma: power series, then Lentz's continued fraction."""
@@ -83,13 +87,20 @@ def normal_two_sided(z: float) -> float:
 def t_two_sided(t: float, df: float) -> float:
     if math.isinf(t):
         return 0.0
-    # The complementary ratio keeps precision when t is small against df.
+    if df > LARGE_DF:
+        # Normal deviate with the same tail up to terms of order df ** -2.
+        z = math.sqrt(df * math.log1p(t * t / df)) * (8 * df + 1) / (8 * df + 3)
+        return normal_two_sided(z)
     return _beta_regularised(df / 2, 0.5, df / (df + t * t))
 
 
 def f_upper(statistic: float, df_model: float, df_resid: float) -> float:
     if statistic <= 0:
         return 1.0
+    if df_resid > LARGE_DF:
+        # Likelihood-ratio form of F, chi-square up to terms of order df_resid ** -2.
+        ratio = (df_resid + df_model / 2 - 1) * math.log1p(df_model * statistic / df_resid)
+        return chi2_upper(ratio, df_model)
     return _beta_regularised(
         df_resid / 2, df_model / 2, df_resid / (df_resid + df_model * statistic)
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewise.functions.expressions import clip
 from lanewise.functions.tails import chi2_p, normal_p, t_p
 from lanewise.operators.features import collapse_rare
 from lanewise.operators.metrics import day_counts
@@ -201,11 +202,11 @@ def spearman(
         F.sum(n * dy * dy).alias("_yy"),
         F.sum(n * dx * dy).alias("_xy"),
     )
-    rho = F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx")) * F.sqrt(F.col("_yy")))
-    rho = F.greatest(F.least(rho, F.lit(1.0)), F.lit(-1.0))
+    rho = F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx") * F.col("_yy")))
+    rho = clip(rho, -1.0, 1.0)
     freedom = (F.col("n") - 2).cast("double")
     t = F.when(F.abs("rho") == 1, F.lit(float("inf"))).otherwise(
         F.col("rho") * F.sqrt(freedom / ((1 - F.col("rho")) * (1 + F.col("rho"))))
     )
-    found = sums.select(F.when(F.col("_xx").isNotNull(), rho).alias("rho"), "n")
+    found = sums.select(rho.alias("rho"), "n")
     return found.withColumn("p", t_p(F.when(freedom > 0, t), freedom))

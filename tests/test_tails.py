@@ -41,6 +41,14 @@ def test_f_with_one_numerator_degree_is_squared_t():
     assert tails.f_upper(3.8379, 2, 27) == pytest.approx(0.034, abs=5e-4)
 
 
+def test_large_degrees_continue_the_small_ones(monkeypatch):
+    exact = [(tails.t_two_sided(t, 9e5), tails.f_upper(t, 7, 9e5)) for t in (0.5, 3.0, 12.0)]
+    monkeypatch.setattr(tails, "LARGE_DF", 1000)
+    limit = [(tails.t_two_sided(t, 9e5), tails.f_upper(t, 7, 9e5)) for t in (0.5, 3.0, 12.0)]
+    for small, large in zip(exact, limit):
+        assert small == pytest.approx(large, rel=1e-7)
+
+
 def test_ends():
     assert tails.chi2_upper(0, 3) == 1.0
     assert tails.t_two_sided(0, 5) == 1.0
