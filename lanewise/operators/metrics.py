@@ -26,6 +26,7 @@ from lanewise.operators.features import (
     with_numeric_freight,
 )
 from lanewise.operators.ordering import BUCKETS, value_summary
+from lanewise.operators.sharing import settled
 
 MAX_CYCLE_DAYS = 2000
 
@@ -65,9 +66,15 @@ def delay_by_group(
     delay: str = "delay_days",
     min_n: int = 30,
     collapse: bool = True,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Delay table over rows with a known delay; small groups pooled; best on-time first."""
-    counts = day_counts(df, group, delay)
+    """Delay table over rows with a known delay; small groups pooled; best on-time first.
+
+    Pass ``counts`` if ``day_counts`` of the same columns is at hand.
+    """
+    if counts is None:
+        counts = day_counts(df, group, delay)
+        counts = settled(counts) if collapse else counts
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
     n, days = F.col("n"), F.col(delay)

@@ -38,9 +38,14 @@ def rank_sums(
     min_n: int = 30,
     collapse: bool = True,
     buckets: int = BUCKETS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``(grp, n, mean_rank, n_total, tie_sum)`` per group, from average ranks over all rows."""
-    counts = settled(day_counts(df, group, value))
+    """``(grp, n, mean_rank, n_total, tie_sum)`` per group, from average ranks over all rows.
+
+    Pass ``counts`` if ``day_counts`` of the same columns is at hand.
+    """
+    if counts is None:
+        counts = settled(day_counts(df, group, value))
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
     ranked = average_ranks(counts, value, "n", buckets=buckets)
@@ -172,9 +177,10 @@ def kruskal_dunn(
     collapse: bool = True,
     alpha: float = ALPHA,
     buckets: int = BUCKETS,
+    counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The overall test, and the corrected pairs - none unless the overall p is below alpha."""
-    sums = rank_sums(df, group, value, min_n, collapse, buckets)
+    sums = rank_sums(df, group, value, min_n, collapse, buckets, counts)
     test = kruskal_wallis(sums)
     overall = test.select("p").first()["p"]
     pairs = dunn_pairs(sums)

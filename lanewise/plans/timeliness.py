@@ -13,12 +13,14 @@ from lanewise.operators.crosstab import (
 )
 from lanewise.operators.metrics import (
     cycle_segments,
+    day_counts,
     delay_by_group,
     delay_overview,
     late_by_vendor,
     monthly_trend,
     segment_rows,
 )
+from lanewise.operators.sharing import settled
 from lanewise.operators.stats import kruskal_dunn, significant_pairs
 from lanewise.schema import Columns
 
@@ -47,8 +49,11 @@ def timeliness_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[
         "terms": (c.terms, 30, True),
     }
     for name, (column, min_n, collapse) in groupings.items():
-        tests = kruskal_dunn(cleaned, column, c.delay, min_n, collapse)
-        sheets[f"delay_by_{name}"] = delay_by_group(cleaned, column, c.delay, min_n, collapse)
+        # One pass over the rows for the table and the tests of a grouping.
+        counts = settled(day_counts(cleaned, column, c.delay))
+        tests = kruskal_dunn(cleaned, column, c.delay, min_n, collapse, counts=counts)
+        sheets[f"delay_by_{name}"] = delay_by_group(
+            cleaned, column, c.delay, min_n, collapse, counts)
         sheets[f"kruskal_{name}"] = tests["test"]
         sheets[f"dunn_{name}"] = tests["pairs"]
         sheets[f"significant_{name}"] = significant_pairs(tests["pairs"])
