@@ -39,6 +39,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        # Wide rows make methods too large for the JIT; Spark then splits them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -26,9 +26,13 @@ _EVERYTHING = "_all"
 
 
 def numeric_rows(df: DataFrame, value: str) -> DataFrame:
-    """Rows whose value is a number; ``value`` becomes double with one form of zero."""
+    """Rows whose value is a number; ``value`` becomes double with one form of zero.
+
+    Null and NaN both fail the comparison, which names the value only once: the filter is
+    pushed down together with the expression the value is made of.
+    """
     number = F.col(value).cast("double")
-    return df.where(number.isNotNull() & ~F.isnan(number)).withColumn(value, number + F.lit(0.0))
+    return df.where(number <= F.lit(math.inf)).withColumn(value, number + F.lit(0.0))
 
 
 def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -42,22 +43,23 @@ def regression_sample(
     )
 
 
-def _complete(df: DataFrame, response: str, numeric: Sequence[str], categorical) -> DataFrame:
-    for name in (response, *numeric):
-        df = df.where(F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")))
-    for name in categorical:
-        df = df.where(F.col(name).isNotNull())
-    return df.select(
-        *categorical, *[F.col(n).cast("double").alias(n) for n in (*numeric, response)]
-    )
-
+def _complete(
+    df: DataFrame, response: str, numeric: Sequence[str], categorical: Sequence[str]
+) -> DataFrame:
+    """The categories and ``_x``: numbers and response, null unless the row is complete.
 
-def dummy_term(category: str, level) -> str:
-    return f"{category}[{level}]"
+    Rows are marked rather than filtered: a filter would be pushed down as one more copy of
+    every derived column it looks at.
+    """
+    numbers = [F.col(name).cast("double") for name in (*numeric, response)]
+    known = reduce(Column.__add__, numbers) <= F.lit(math.inf)  # false for null and NaN
+    for name in categorical:
+        known = known & F.col(name).isNotNull()
+    return df.select(*categorical, F.when(known, F.array(*numbers)).alias("_x"))
 
 
 def cross_moments(
-    df: DataFrame, response: str, numeric: Sequence[str], categorical: Mapping[str, str]
+    rows: DataFrame, numeric: Sequence[str], categorical: Mapping[str, str]
 ) -> DataFrame:
     """``(term_a, term_b, moment)``, the non-zero upper part of [X y]'[X y].
 
@@ -65,16 +67,13 @@ def cross_moments(
     it combines before shuffling. Each combination then contributes to the handful of
     entries its own terms meet in, so the work does not grow with the number of levels.
     """
-    measured = [*numeric, response]
-    products = {
-        (i, j): f"_m{i}_{j}" for i in range(len(measured)) for j in range(i, len(measured))
-    }
-    cells = df.groupBy(*categorical).agg(
-        F.count(F.lit(1)).cast("double").alias("_n"),
-        *[F.sum(name).alias(f"_s{i}") for i, name in enumerate(measured)],
-        *[F.sum(F.col(measured[i]) * F.col(measured[j])).alias(a)
-          for (i, j), a in products.items()],
-    )
+    x = [F.col("_x")[i] for i in range(len(numeric) + 1)]
+    products = {(i, j): f"_m{i}_{j}" for i in range(len(x)) for j in range(i, len(x))}
+    cells = rows.groupBy(*categorical).agg(
+        F.count("_x").cast("double").alias("_n"),
+        *[F.sum(number).alias(f"_s{i}") for i, number in enumerate(x)],
+        *[F.sum(x[i] * x[j]).alias(a) for (i, j), a in products.items()],
+    ).where(F.col("_n") > 0)
     present: list[Column] = [F.lit(INTERCEPT)]
     for name, base in categorical.items():
         level = F.col(name).cast("string")
@@ -132,7 +131,7 @@ def ols(
     spark = df.sparkSession
     rows = _complete(df, response, numeric, list(categorical))
     limit = (max_terms + 1) * (max_terms + 2) // 2
-    entries = cross_moments(rows, response, numeric, categorical).limit(limit + 1).collect()
+    entries = cross_moments(rows, numeric, categorical).limit(limit + 1).collect()
     if len(entries) > limit:
         raise ValueError(f"more than {max_terms} terms")
     moments = {(e["term_a"], e["term_b"]): e["moment"] for e in entries}
@@ -160,10 +159,11 @@ def ols(
             table = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair])
             term = F.concat(F.lit(f"{name}["), F.col(name).cast("string"), F.lit("]"))
             fitted = fitted + F.coalesce(F.try_element_at(table, term), F.lit(0.0))
-    for name in numeric:
-        fitted = fitted + F.lit(found[name]) * F.col(name)
-    residual = F.col(response) - fitted
-    off_mean = F.col(response) - F.lit(moment(INTERCEPT, _RESPONSE) / n)
+    for i, name in enumerate(numeric):
+        fitted = fitted + F.lit(found[name]) * F.col("_x")[i]
+    observed = F.col("_x")[len(numeric)]
+    residual = observed - fitted
+    off_mean = observed - F.lit(moment(INTERCEPT, _RESPONSE) / n)
     sums = rows.agg(
         F.sum(residual * residual).alias("rss"), F.sum(off_mean * off_mean).alias("tss")
     ).first()
