@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanewise.llm import ngram_join
+from lanewise.llm import (
+    decontaminate,
+    ngram_join,
+    pii,
+    quality_model,
+    quality_rules,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,10 +24,42 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, folder, "documents"))
 
 
+def op3_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.quality_model(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontaminate(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    ).drop("hits", "items")
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_rule_ensemble": op3_rule_ensemble,
+    "op4_decontaminate": op4_decontaminate,
+    "op6_toxicity": op6_toxicity,
+    "op7_personal_data": op7_personal_data,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE_SQL,
+    "op4_decontaminate": decontaminate.ORACLE_SQL,
 }
