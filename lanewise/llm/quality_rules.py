@@ -35,6 +35,8 @@ ALPHA = 0.05
 #: A cut must hit this share of the bad documents, and this many times the good one's share.
 LEAST_HIT, LEAST_LIFT = 0.02, 10.0
 _ACCURACY = 20_000
+#: Strata up to which cutoffs are broadcast; of more, they are shuffled.
+BROADCAST_ROWS = 1_000
 
 SIDES = {"low": "<", "high": ">"}
 
@@ -62,6 +64,11 @@ def _beyond(level: int) -> F.Column:
     ))
 
 
+def _small(strata: DataFrame) -> DataFrame:
+    """Broadcast behind a count; a larger side is left to a shuffle."""
+    return F.broadcast(strata) if strata.count() <= BROADCAST_ROWS else strata
+
+
 def cutoffs(selection: DataFrame) -> DataFrame:
     """A row per stratum with the cutoffs of all levels, null where a cut isn't worth it."""
     good = F.col("label") == 1
@@ -73,7 +80,8 @@ def cutoffs(selection: DataFrame) -> DataFrame:
         F.col(name)[k if side == "low" else len(LEVELS) + k].alias(_cut(name, side, k))
         for name in SHARES for side in SIDES for k in range(len(LEVELS))
     ))
-    joined = selection.join(wide, "stratum")
+    wide = written(wide, "quantiles")
+    joined = selection.join(_small(wide), "stratum")
     share = {}
     for name in SHARES:
         for side, sign in SIDES.items():
@@ -91,7 +99,7 @@ def cutoffs(selection: DataFrame) -> DataFrame:
 
 def certified(holdout: DataFrame, cuts: DataFrame, limit: float, alpha: float) -> DataFrame:
     """(stratum, level): the strictest level that passed, of strata where one did."""
-    rejected = holdout.filter("label = 1").join(cuts, "stratum").groupBy("stratum").agg(
+    rejected = holdout.filter("label = 1").join(_small(cuts), "stratum").groupBy("stratum").agg(
         F.count("*").alias("n"),
         *(F.sum(_beyond(k).cast("int")).alias(f"hits_{k}") for k in range(len(LEVELS))),
     )
@@ -144,7 +152,7 @@ def quality_rules(
     cuts = written(cutoffs(labelled.filter(half == 0)), "cutoffs")
     levels = certified(labelled.filter(half == 1), cuts, limit, alpha)
     rules = written(cuts.join(levels, "stratum"), "rules")
-    judged = stats.join(rules, "stratum", "left")
+    judged = stats.join(_small(rules), "stratum", "left")
     reasons = [
         F.when(F.col("n_words") < MIN_WORDS, F.lit("few words")),
         F.when(F.col("base_failed"), F.lit("repeated words")),

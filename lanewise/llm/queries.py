@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lanewise.llm import (
     decontaminate,
+    html_text,
+    mixing,
     ngram_join,
+    paragraphs,
     pii,
     quality_model,
     quality_rules,
+    records,
     toxicity,
 )
 
@@ -24,6 +28,10 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, folder, "documents"))
 
 
+def op2_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(_table(spark, folder, "documents"))
+
+
 def op3_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.quality_model(
         _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -36,6 +44,13 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("hits", "items")
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, folder, "documents"))
+    return mixed.select(
+        "row.doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected"
+    )
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -44,6 +59,21 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(_table(spark, folder, "documents"))
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the token records, of an installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    return records.token_records(_table(spark, folder, "documents"), vocabulary())
+
+
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(
         _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -52,10 +82,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_paragraph_minhash": op2_paragraph_minhash,
     "op3_rule_ensemble": op3_rule_ensemble,
     "op4_decontaminate": op4_decontaminate,
+    "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
+    "op8_token_records": op8_token_records,
+    "op9_main_text": op9_main_text,
     "op10_quality_rules": op10_quality_rules,
 }
 
