@@ -31,7 +31,7 @@ from lanewise.operators.features import (
     with_numeric_freight,
 )
 from lanewise.operators.regression import Fit, coef_order, ols_drivers
-from lanewise.operators.sharing import settled
+from lanewise.operators.sharing import kept
 from lanewise.plans.prepare import parse, prepare
 from lanewise.schema import OUTLIER_COLUMNS
 from lanewise.sources.delivery import read_cleaned, read_raw, write_cleaned
@@ -95,6 +95,12 @@ def _by(spark, folder, measure, groups=GROUPS, columns=("delay_days",)) -> DataF
     })
 
 
+def _day_counts(spark, folder) -> dict[str, DataFrame]:
+    """Rows by day of every grouping, from one pass over the order lines."""
+    return metrics.all_day_counts(
+        delivery_lines(spark, folder, [*GROUPS, "delay_days"]), list(GROUPS))
+
+
 def _min_rows(group: str) -> int:
     return MIN_COUNTRY_ROWS if group == "country" else 30
 
@@ -338,8 +344,14 @@ def delay_overview(spark, folder):
 
 @_query("delay_by_group")
 def delay_by_group(spark, folder):
-    return _by(spark, folder, lambda rows, group: metrics.delay_by_group(
-        rows, group, min_n=_min_rows(group), collapse=group != "product"))
+    counts = _day_counts(spark, folder)
+    return _stack("grouping", {
+        group: metrics.delay_by_group(
+            None, group, min_n=_min_rows(group), collapse=group != "product",
+            counts=counts[group],
+        ).withColumnRenamed(group, "grp")
+        for group in GROUPS
+    })
 
 
 @_query("late_by_vendor")
@@ -426,14 +438,14 @@ def _scorecard(spark, folder):
 @_query("minmax_norm")
 def minmax_norm(spark, folder):
     normed = scoring.minmax(
-        settled(_vendor_metrics(spark, folder)),
+        kept(_vendor_metrics(spark, folder)),
         {"avg_late": "late_norm", "value": "value_norm"}, inverted=["avg_late"])
     return normed.select("vendor", "late_norm", "value_norm")
 
 
 @_query("weighted_score")
 def weighted_score(spark, folder):
-    parts = scoring.score_parts(settled(_vendor_metrics(spark, folder)))
+    parts = scoring.score_parts(kept(_vendor_metrics(spark, folder)))
     return scoring.weighted_score(parts).select("vendor", "score")
 
 
@@ -539,9 +551,8 @@ def segments_union(spark, folder):
 def kruskal_wallis(spark, folder):
     return _stack("grouping", {
         group: stats.kruskal_wallis(stats.rank_sums(
-            delivery_lines(spark, folder, [group, "delay_days"]), group,
-            min_n=_min_rows(group), collapse=group != "product"))
-        for group in GROUPS
+            None, group, min_n=_min_rows(group), collapse=group != "product", counts=counts))
+        for group, counts in _day_counts(spark, folder).items()
     })
 
 

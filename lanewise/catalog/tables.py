@@ -6,7 +6,6 @@ arithmetic, so that the same rows can be written down in SQL.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +20,7 @@ from lanewise.operators.features import (
     delay_features,
     unit_freight,
 )
-from lanewise.operators.sharing import shared_folder
+from lanewise.operators.sharing import new_folder
 from lanewise.schema import RAW_COLUMNS, Columns
 
 ROLES = Columns(
@@ -53,15 +52,9 @@ _NEEDS = {
 }
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder; its footer is read for the schema only the first time."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A table of the folder; Spark reads one footer for its schema."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _star(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
@@ -288,4 +281,4 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder next to the session's checkpoints, on storage all executors share."""
-    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    return new_folder(spark, "tables")

@@ -44,9 +44,9 @@ def _gamma_upper(a: float, x: float) -> float:
         d = 1 / (step * d + b or tiny)
         c = b + step / c or tiny
         h *= d * c
-        if abs(d * c - 1) < 1e-16:
-            break
-    return scale * h
+        if abs(d * c - 1) < 1e-15:
+            return scale * h
+    raise ArithmeticError(f"the gamma tail at {a}, {x} did not converge")
 
 
 def _beta_regularised(a: float, b: float, x: float) -> float:
@@ -72,8 +72,8 @@ def _beta_regularised(a: float, b: float, x: float) -> float:
             c = 1 + step / c or tiny
             h *= d * c
         if abs(d * c - 1) < 1e-15:
-            break
-    return front * h
+            return front * h
+    raise ArithmeticError(f"the beta function at {a}, {b}, {x} did not converge")
 
 
 def chi2_upper(statistic: float, df: float) -> float:

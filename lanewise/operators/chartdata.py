@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lanewise.functions.expressions import clip, percentile_weighted
 from lanewise.operators.metrics import day_counts
 from lanewise.operators.ordering import BUCKETS, numeric_rows, value_summary
-from lanewise.operators.sharing import checked_broadcast
+from lanewise.operators.sharing import kept
 
 
 def histogram(
@@ -66,7 +66,7 @@ def box_stats(df: DataFrame, group: str, value: str, buckets: int = BUCKETS) ->
     quartiles = value_summary(
         rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], buckets=buckets
     ).select(group, "q1", "median", "q3")
-    return _boxes(rows.join(checked_broadcast(quartiles), group), value, F.lit(1), group)
+    return _boxes(rows.join(kept(quartiles), group), value, F.lit(1), group)
 
 
 def log_density(

@@ -7,18 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.functions.expressions import exact_sum
-from lanewise.operators.sharing import checked_broadcast
+from lanewise.functions.expressions import exact_sum, percentile_weighted
+from lanewise.operators.metrics import per_day
+from lanewise.operators.sharing import kept
 
 
 def semi_top_n(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in a computed set."""
-    return df.join(checked_broadcast(keys.select(on)), on, "left_semi")
+    return df.join(kept(keys.select(on)), on, "left_semi")
 
 
 def abc_lookup(df: DataFrame, classes: DataFrame, vendor: str = "Vendor") -> DataFrame:
     """Attach each vendor's class; unknown vendors get null."""
-    return df.join(checked_broadcast(classes.select(vendor, "ABC")), vendor, "left")
+    return df.join(kept(classes.select(vendor, "ABC")), vendor, "left")
 
 
 def cell_mask(cells: DataFrame, value: str, n: str = "n", min_n: int = 30) -> DataFrame:
@@ -38,11 +39,13 @@ def top_n_by_count(
     df: DataFrame, key: str, delay: str = "delay_days", top: int = 10
 ) -> DataFrame:
     """The most frequent keys, ordered by median delay."""
-    table = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile(delay, F.lit(0.5)).alias("median")
-    )
+    counts = kept(per_day(df.where(F.col(key).isNotNull()), delay, key))
+    sizes = counts.groupBy(key).agg(F.sum("_n").alias("n"))
+    biggest = sizes.orderBy(F.col("n").desc(), key).limit(top)
     return (
-        table.orderBy(F.col("n").desc(), key).limit(top)
+        counts.join(F.broadcast(biggest), key).groupBy(key, "n")
+        .agg(percentile_weighted(delay, 0.5, "_n").alias("median"))
+        .select(key, "n", "median")
         .orderBy(F.col("median").asc_nulls_last(), key)
     )
 
@@ -59,15 +62,18 @@ def country_mode_heatmap(
 
     ``n`` counts rows without a delay too; thin cells are blanked, not dropped.
     """
-    cells = df.where(F.col(country).isNotNull() & F.col(mode).isNotNull()).groupBy(
-        country, mode
-    ).agg(F.count(F.lit(1)).alias("n"), F.percentile(delay, F.lit(0.5)).alias("median_delay"))
+    placed = df.where(F.col(country).isNotNull() & F.col(mode).isNotNull())
+    counts = kept(per_day(placed, delay, country, mode))
     biggest = (
-        cells.groupBy(country).agg(F.sum("n").alias("rows"))
+        counts.groupBy(country).agg(F.sum("_n").alias("rows"))
         .orderBy(F.col("rows").desc(), country).limit(top)
     )
-    kept = cells.join(F.broadcast(biggest.select(country)), country, "left_semi")
-    return cell_mask(kept, "median_delay", "n", min_n)
+    cells = (
+        counts.join(F.broadcast(biggest.select(country)), country, "left_semi")
+        .groupBy(country, mode)
+        .agg(F.sum("_n").alias("n"), percentile_weighted(delay, 0.5, "_n").alias("median_delay"))
+    )
+    return cell_mask(cells, "median_delay", "n", min_n)
 
 
 def cross_table(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.functions.expressions import flag, log1p_floor0, log_floor, positive_part
-from lanewise.operators.sharing import checked_broadcast
+from lanewise.operators.sharing import kept
 
 SEGMENTS = ("c1_pq2po", "c2_po2sched", "c3_sched2deliv", "c_total")
 
@@ -133,8 +133,9 @@ def collapse_rare(
 ) -> DataFrame:
     """Pool categories with fewer than ``min_n`` rows under one label.
 
-    ``weight`` is the number of rows one row stands for. The list of frequent categories
-    is broadcast if its size allows, so the rows stay where they are.
+    ``weight`` is the number of rows one row stands for. The list of frequent categories is
+    kept, so its size is known and Spark broadcasts it if small; the rows then stay where
+    they are.
     """
     count = F.sum(weight) if weight else F.count(F.lit(1))
     frequent = (
@@ -144,6 +145,6 @@ def collapse_rare(
     pooled = F.lit(label or f"Other (<{min_n})")
     named = F.when(F.col("_frequent") | F.col(category).isNull(), F.col(category)).otherwise(pooled)
     return (
-        df.join(checked_broadcast(frequent), category, "left")
+        df.join(kept(frequent), category, "left")
         .withColumn(category, named).select(*df.columns)
     )

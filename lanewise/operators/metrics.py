@@ -1,7 +1,8 @@
 """Grouped measures of timeliness and cost.
 
-Whole-day columns use Spark's exact ``percentile``: its state has one entry per distinct
-day count, which the calendar bounds. Money and ratios use ``value_summary``.
+Whole-day columns are first counted per (group, day), with a partial count in each task, and
+percentiles are taken of these counts; the calendar bounds their number. Money and ratios use
+``value_summary``.
 """
 
 from __future__ import annotations
@@ -26,31 +27,53 @@ from lanewise.operators.features import (
     with_numeric_freight,
 )
 from lanewise.operators.ordering import BUCKETS, value_summary
-from lanewise.operators.sharing import settled
+from lanewise.operators.sharing import kept
 
 MAX_CYCLE_DAYS = 2000
 
 
-def _days(column, share: float) -> Column:
-    return F.percentile(column, F.lit(share))
+def per_day(df: DataFrame, days: str, *keys: str | Column) -> DataFrame:
+    """``(keys, days, _n)``: how many rows each combination stands for, unknown days too."""
+    return df.groupBy(*keys, days).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _rows(where: Column | None = None) -> Column:
+    """Aggregate over counts: the rows they stand for, or those where a condition holds."""
+    if where is None:
+        return F.sum("_n")
+    return F.coalesce(F.sum(F.when(where, F.col("_n"))), F.lit(0))
+
+
+def _percent(where: Column) -> Column:
+    return 100 * (_rows(where) / _rows())
+
+
+def _mean(days: str) -> Column:
+    known = F.col(days).isNotNull()
+    return F.try_divide(F.sum(F.col(days) * F.col("_n")), F.sum(F.when(known, F.col("_n"))))
+
+
+def _days(days: str, share: float) -> Column:
+    return percentile_weighted(days, share, "_n")
 
 
 def delay_overview(df: DataFrame, delay: str = "delay_days") -> DataFrame:
     """One row: on-time share of all rows, centre, early share, lateness of late rows."""
-    days, late = F.col(delay), positive_part(F.col(delay))
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(delay).alias("delay_n"),
-        F.count_if(days <= 0).alias("on_time_n"),
-        (100 * fraction_true(days <= 0)).alias("otd_pct"),
-        F.avg(days).alias("mean_delay"),
-        _days(days, 0.5).alias("median_delay"),
-        F.count_if(days < 0).alias("early_n"),
-        (100 * fraction_true(days < 0)).alias("early_pct"),
-        F.count(late).alias("late_n"),
-        _days(late, 0.5).alias("late_median"),
-        _days(late, 0.95).alias("late_p95"),
-        _days(late, 0.99).alias("late_p99"),
+    days = F.col(delay)
+    counts = per_day(df, delay).withColumn("_late", positive_part(days))
+    return counts.agg(
+        F.coalesce(_rows(), F.lit(0)).alias("n"),
+        _rows(days.isNotNull()).alias("delay_n"),
+        _rows(days <= 0).alias("on_time_n"),
+        _percent(days <= 0).alias("otd_pct"),
+        _mean(delay).alias("mean_delay"),
+        _days(delay, 0.5).alias("median_delay"),
+        _rows(days < 0).alias("early_n"),
+        _percent(days < 0).alias("early_pct"),
+        _rows(F.col("_late").isNotNull()).alias("late_n"),
+        _days("_late", 0.5).alias("late_median"),
+        _days("_late", 0.95).alias("late_p95"),
+        _days("_late", 0.99).alias("late_p99"),
     )
 
 
@@ -60,6 +83,20 @@ def day_counts(df: DataFrame, group: str, delay: str = "delay_days") -> DataFram
     return known.groupBy(group, delay).agg(F.count(F.lit(1)).alias("n"))
 
 
+def all_day_counts(
+    df: DataFrame, groups: Sequence[str], delay: str = "delay_days"
+) -> dict[str, DataFrame]:
+    """``day_counts`` of several groupings from one pass: rows are counted by all of them at
+    once and kept, and each grouping adds up those counts."""
+    known = df.where(F.col(delay).isNotNull())
+    counts = kept(known.groupBy(*groups, delay).agg(F.count(F.lit(1)).alias("n")))
+    return {
+        group: counts.where(F.col(group).isNotNull()).groupBy(group, delay)
+        .agg(F.sum("n").alias("n"))
+        for group in groups
+    }
+
+
 def delay_by_group(
     df: DataFrame,
     group: str,
@@ -74,7 +111,7 @@ def delay_by_group(
     """
     if counts is None:
         counts = day_counts(df, group, delay)
-        counts = settled(counts) if collapse else counts
+        counts = kept(counts) if collapse else counts
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
     n, days = F.col("n"), F.col(delay)
@@ -95,9 +132,9 @@ def late_by_vendor(
     """Vendors with at least ``min_n`` late rows, most late rows first."""
     late = df.where((F.col(delay) > 0) & F.col(vendor).isNotNull())
     return (
-        late.groupBy(vendor)
+        per_day(late, delay, vendor).groupBy(vendor)
         .agg(
-            F.count(F.lit(1)).alias("late_n"),
+            _rows().alias("late_n"),
             _days(delay, 0.5).alias("late_median"),
             _days(delay, 0.9).alias("late_p90"),
         )
@@ -112,10 +149,10 @@ def monthly_trend(
 ) -> DataFrame:
     known = df.where(F.col(delay).isNotNull() & F.col(delivered).isNotNull())
     return (
-        known.groupBy(F.trunc(delivered, "MM").alias("month"))
+        per_day(known, delay, F.trunc(delivered, "MM").alias("month")).groupBy("month")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            (100 * fraction_true(F.col(delay) <= 0)).alias("otd_pct"),
+            _rows().alias("n"),
+            _percent(F.col(delay) <= 0).alias("otd_pct"),
             _days(delay, 0.5).alias("median"),
         )
         .orderBy("month")
@@ -142,10 +179,11 @@ def cycle_segments(
     keep: Column | None = None,
 ) -> DataFrame:
     """Per segment: n, median, mean, quartiles. ``keep`` optionally restricts the rows."""
-    return segment_rows(df, segments, max_days, keep).groupBy("segment").agg(
-        F.count(F.lit(1)).alias("n"),
+    counts = per_day(segment_rows(df, segments, max_days, keep), "days", "segment")
+    return counts.groupBy("segment").agg(
+        _rows().alias("n"),
         _days("days", 0.5).alias("median"),
-        F.avg("days").alias("mean"),
+        _mean("days").alias("mean"),
         _days("days", 0.25).alias("p25"),
         _days("days", 0.75).alias("p75"),
     )
@@ -294,13 +332,14 @@ def otd_by(
 ) -> DataFrame:
     """Summary pivot: n counts all rows of the group, also those without a delay."""
     measures = [
-        F.count(F.lit(1)).alias("n"),
-        (100 * fraction_true(F.col(delay) <= 0)).alias("otd_pct"),
+        _rows().alias("n"),
+        _percent(F.col(delay) <= 0).alias("otd_pct"),
         _days(delay, 0.5).alias("median_delay"),
     ]
     if with_mean:
-        measures.append(F.avg(delay).alias("mean_delay"))
-    table = df.where(F.col(group).isNotNull()).groupBy(group).agg(*measures)
+        measures.append(_mean(delay).alias("mean_delay"))
+    counts = per_day(df.where(F.col(group).isNotNull()), delay, group)
+    table = counts.groupBy(group).agg(*measures)
     return table.where(F.col("n") >= min_n).orderBy(F.col("otd_pct").desc(), group)
 
 

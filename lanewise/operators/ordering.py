@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.functions.expressions import sql_name
-from lanewise.operators.sharing import checked_broadcast, materialize, settled
+from lanewise.operators.sharing import kept, materialize
 
-BUCKETS = 1024
+#: Most buckets of a column; their number goes with the rows, about ``ROWS_PER_BUCKET`` each.
+BUCKETS = 1 << 16
 MIN_BUCKETS = 8
 ROWS_PER_BUCKET = 50_000
-SPREAD = 64
+#: Rows that cuts are sought among; of more, a random share. Cuts decide balance, not results.
+SAMPLE_ROWS = 5_000_000
 _EVERYTHING = "_all"
 
 
@@ -36,19 +38,20 @@ def numeric_rows(df: DataFrame, value: str) -> DataFrame:
 
 
 def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` finite, distinct approximate quantiles.
+    """At most ``buckets - 1`` finite, distinct approximate quantiles, for ``n`` rows.
 
-    Small inputs get fewer, so that a bucket stands for ``ROWS_PER_BUCKET`` rows or more.
+    The sketch is merged in one task, so it is taken of at most about ``SAMPLE_ROWS`` rows.
     """
+    n = df.agg(F.count(value)).first()[0]
+    buckets = min(buckets, max(MIN_BUCKETS, n // ROWS_PER_BUCKET))
+    if n > SAMPLE_ROWS:
+        df = df.sample(SAMPLE_ROWS / n, seed=1)
     steps = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    name = sql_name(value)
     found = df.agg(
-        F.expr(f"percentile_approx({name}, array({steps}), {10 * buckets})").alias("cuts"),
-        F.count(value).alias("n"),
-    ).first()
-    stride = max(1, buckets // max(MIN_BUCKETS, found["n"] // ROWS_PER_BUCKET))
+        F.expr(f"percentile_approx({sql_name(value)}, array({steps}), {10 * buckets})")
+    ).first()[0]
     cuts: list[float] = []
-    for cut in sorted({c for c in (found["cuts"] or [])[::stride] if math.isfinite(c)}):
+    for cut in sorted({c for c in found or [] if math.isfinite(c)}):
         if not cuts or cut > math.nextafter(cuts[-1], math.inf):
             cuts.append(cut)
     return cuts or [0.0]
@@ -69,9 +72,13 @@ def _is_single() -> Column:
     return F.col("_bucket") % 2 == 1
 
 
-def _with_spread(df: DataFrame) -> DataFrame:
-    """Add ``_spread``: rows of a one-value bucket go to many tasks, others stay together."""
-    scattered = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+def with_spread(df: DataFrame, total: str) -> DataFrame:
+    """Add ``_spread``: rows of a one-value bucket go to many tasks, others stay together.
+
+    The more rows its ``total`` says, the more tasks.
+    """
+    tasks = F.greatest(F.lit(1), F.ceil(F.col(total) / F.lit(ROWS_PER_BUCKET))).cast("long")
+    scattered = F.pmod(F.xxhash64(*df.columns), tasks)
     return df.withColumn("_spread", F.when(_is_single(), scattered).otherwise(F.lit(0)))
 
 
@@ -94,7 +101,8 @@ def order_statistics(
     group size ``n``. ``sums`` are row expressions to add up per group. Rows without a
     number, or with a null key, are left out.
 
-    Only counts per (group, bucket) and the rows of buckets that contain a wanted rank are
+    The input is read once: keys, values and sums are kept, and later passes read those. Only
+    counts per (group, bucket) and the rows of buckets that contain a wanted rank are
     shuffled. The cuts are global, so one group's share of one bucket is small even when
     the group holds most of the rows.
     """
@@ -105,7 +113,9 @@ def order_statistics(
         rows = rows.where(F.col(key).isNotNull())
     if not by:
         rows = rows.withColumn(_EVERYTHING, F.lit(0))
-    rows = rows.select(*keys, F.col(value).alias("_v"), *[c.alias(a) for a, c in sums.items()])
+    rows = kept(
+        rows.select(*keys, F.col(value).alias("_v"), *[c.alias(a) for a, c in sums.items()])
+    )
     rows = with_bucket(rows, "_v", cut_points(rows, "_v", buckets))
 
     group = Window.partitionBy(*keys)
@@ -116,7 +126,7 @@ def order_statistics(
         F.max("_v").alias("_max"),
         *[F.sum(a).alias(a) for a in sums],
     )
-    counted = settled(
+    counted = kept(
         counted.select("*", F.sum("_n").over(group).alias("n"), _before("_n", group).alias("_start"))
     )
     summary = counted.groupBy(*keys).agg(
@@ -132,7 +142,7 @@ def order_statistics(
         for name, at in positions.items()
     ])
     start, count = F.col("_start"), F.col("_n")
-    wanted = checked_broadcast(
+    wanted = kept(
         counted.withColumn(
             "_asked",
             F.filter(asked, lambda a: (a["at"] >= start) & (a["at"] < start + count)),
@@ -210,7 +220,9 @@ def average_ranks(
         cuts = cut_points(rows, value, buckets)
     if totals is None:
         totals = bucket_totals(rows, value, cuts, weight)
-    rows = _with_spread(with_bucket(rows, value, cuts)).join(F.broadcast(totals), "_bucket")
+    # Two rows per cut at most.
+    rows = with_bucket(rows, value, cuts).join(F.broadcast(totals), "_bucket")
+    rows = with_spread(rows, "_total")
     inside = Window.partitionBy("_bucket", "_spread").orderBy(value)
     upto = F.sum(weight).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     equal = F.sum(weight).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
@@ -233,10 +245,15 @@ def value_ranks(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, order: Sequence[Column], weights: Mapping[str, Column]
+    df: DataFrame,
+    order: Sequence[Column],
+    weights: Mapping[str, Column],
+    wholes: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Running sums down a global order, e.g. a row number or a cumulative amount.
 
+    ``wholes`` maps a weight to a column for its sum over all rows.
+
     Spark's range-partitioned sort splits ties on the later order columns, so equal leading
     values do not pile up in a task. The sorted rows are kept, because partition numbers
     must be the same for the per-partition totals and for the rows they are added to.
@@ -254,6 +271,9 @@ def running_total(
     parts = parts.select("_part", *[
         F.coalesce(F.sum(f"_p_{name}").over(earlier), F.lit(0)).alias(f"_p_{name}")
         for name in weights
+    ], *[
+        F.sum(f"_p_{name}").over(Window.partitionBy(F.lit(0))).alias(whole)
+        for name, whole in (wholes or {}).items()
     ])
     inside = (
         Window.partitionBy("_part").orderBy("_seq")
@@ -265,6 +285,7 @@ def running_total(
             (F.col(f"_p_{name}") + F.sum(f"_w_{name}").over(inside)).alias(name)
             for name in weights
         ],
+        *(wholes or {}).values(),
     )
 
 
@@ -276,9 +297,10 @@ def running_share(
     weights = {out: amount}
     if position:
         weights[position] = F.lit(1).cast("long")
-    rows = running_total(df, [F.col(value).desc_nulls_last(), F.col(key)], weights)
-    total = df.agg(F.sum(amount).cast("double").alias("total")).scalar()
-    return rows.withColumn(out, F.try_divide(F.col(out).cast("double"), total))
+    order = [F.col(value).desc_nulls_last(), F.col(key)]
+    rows = running_total(df, order, weights, {out: "_whole"})
+    whole = F.col("_whole").cast("double")
+    return rows.withColumn(out, F.try_divide(F.col(out).cast("double"), whole)).drop("_whole")
 
 
 def row_position(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:

@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.functions.expressions import flag
+from lanewise.functions.expressions import flag, percentile_weighted
+from lanewise.operators.metrics import per_day
 from lanewise.operators.ordering import BUCKETS, value_summary
+from lanewise.operators.sharing import kept
 from lanewise.schema import OUTLIER_COLUMNS
 
 FIRST_PLAUSIBLE_YEAR, LAST_PLAUSIBLE_YEAR = 2000, 2025
@@ -27,21 +29,74 @@ def dup_count(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     )
 
 
+def narrow_dup_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``(field, n, rows)`` of several keys from one pass over their columns."""
+    width = max(map(len, keys.values()))
+    listed = F.array(*[
+        F.struct(F.lit(name).alias("field"), *[
+            (F.col(columns[i]) if i < len(columns) else F.lit(None)).cast("string").alias(f"k{i}")
+            for i in range(width)
+        ])
+        for name, columns in keys.items()
+    ])
+    copies = (
+        df.select(F.inline(listed)).groupBy("field", *[f"k{i}" for i in range(width)])
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    return copies.groupBy("field").agg(
+        F.sum(F.col("_rows") - 1).cast("long").alias("n"), F.sum("_rows").alias("rows")
+    )
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    """Rows with two 64-bit hashes of all their columns; equal rows have equal ones."""
+    return df.select(
+        "*", F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(7), *df.columns).alias("_h2")
+    )
+
+
+def _with_repeats(df: DataFrame) -> DataFrame:
+    """Hashed rows, ``_repeated`` true where another row has the same hashes.
+
+    Only hashes are shuffled to find out. The repeated ones are kept as a table, so Spark
+    broadcasts them while they are few, and whole rows then stay where they are.
+    """
+    hashed = _hashed(df)
+    again = kept(
+        hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > 1).select("_h1", "_h2", F.lit(True).alias("_repeated"))
+    )
+    return hashed.join(again, ["_h1", "_h2"], "left")
+
+
+def full_row_dup_count(df: DataFrame, name: str = "full row") -> DataFrame:
+    """One row: how many rows repeat an earlier one in every column."""
+    rows = _with_repeats(df).where("_repeated").select(*df.columns)
+    return dup_count(rows, df.columns, name)
+
+
 def dup_counts(
     df: DataFrame,
     row_id: str = "ID",
     business_key: Sequence[str] = ("PO / SO #", "Item Description"),
 ) -> DataFrame:
     """Surplus rows by ID, by the full row, and by the business key."""
-    return reduce(DataFrame.unionByName, [
-        dup_count(df, [row_id], "ID"),
-        dup_count(df, df.columns, "full row"),
-        dup_count(df, list(business_key), "business key"),
+    empty = reduce(DataFrame.unionByName, [
+        df.limit(0).agg(F.lit(name).alias("field"), F.count(F.lit(1)).alias("n"))
+        for name in ("ID", "business key")
     ])
+    narrow = narrow_dup_counts(df, {"ID": [row_id], "business key": list(business_key)})
+    both = empty.unionByName(narrow.select("field", "n")).groupBy("field").agg(
+        F.sum("n").alias("n"))
+    return both.unionByName(full_row_dup_count(df))
 
 
 def dedup_full_row(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each different row. Whole rows are only compared where their hashes repeat."""
+    rows = _with_repeats(df)
+    once = rows.where("_repeated is null").select(*df.columns)
+    more = rows.where("_repeated").dropDuplicates(["_h1", "_h2", *df.columns])
+    return once.unionByName(more.select(*df.columns))
 
 
 def bad_date(flag_column: str, date: str, state: str = "date") -> Column:
@@ -123,10 +178,11 @@ def profile(
         F.count_distinct(vendor).alias("vendors"),
         F.count(delay).alias("delay_n"),
         F.avg(delay).alias("delay_mean"),
-        F.percentile(F.col(delay), F.lit(0.5)).alias("delay_median"),
         F.count(unit).alias("unit_freight_n"),
     ]
-    out = cleaned.agg(*measures)
+    days = per_day(cleaned, delay).agg(percentile_weighted(delay, 0.5, "_n").alias("m"))
+    out = cleaned.agg(*measures).withColumn("delay_median", days.scalar())
+    out = out.select(*out.columns[:-2], "delay_median", "unit_freight_n")
     if raw_rows is not None:
         out = out.select(F.lit(raw_rows).cast("long").alias("n_raw"), "*")
     return out
@@ -222,17 +278,6 @@ def decision_log(
             "field", F.lit(issue).alias("issue"), F.lit(treatment).alias("treatment"), "n"
         )
 
-    kept_rows = cleaned.agg(F.count(F.lit(1)).alias("n")).scalar()
-    full_row = raw.agg(
-        F.lit("full row").alias("field"), F.count(F.lit(1)).alias("n")
-    ).withColumn("n", F.col("n") - kept_rows)
-    duplicates = reduce(DataFrame.unionByName, [
-        described(dup_count(raw, [row_id], "ID"), "repeated key", "counted only"),
-        described(full_row, "exact duplicate", "first copy kept"),
-        described(dup_count(raw, list(business_key), "business key"),
-                  "repeated business key", "counted only"),
-    ])
-
     always = _log_rules()
     if_any = [
         (f"{name} Date", "year outside the plausible range", "flag_bad_date, value kept",
@@ -241,7 +286,24 @@ def decision_log(
                            ("Delivered", "delivered_date"), ("Recorded", "recorded_date"))
     ]
     rules = always + if_any
-    counted = cleaned.agg(*[F.count_if(r[3]).alias(f"r{i}") for i, r in enumerate(rules)])
+    counted = kept(cleaned.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(r[3]).alias(f"r{i}") for i, r in enumerate(rules)],
+    ))
+    # One narrow pass over the raw rows for both keys and the number of rows.
+    repeats = narrow_dup_counts(raw, {"ID": [row_id], "business key": list(business_key)})
+    found = {r["field"]: r for r in repeats.collect()}
+    surplus = {field: found[field]["n"] if field in found else 0 for field in ("ID", "business key")}
+    raw_rows = found["ID"]["rows"] if found else 0
+    duplicates = reduce(DataFrame.unionByName, [
+        described(counted.select(F.lit(field).alias("field"), n.cast("long").alias("n")), *text)
+        for field, n, text in (
+            ("ID", F.lit(surplus["ID"]), ("repeated key", "counted only")),
+            ("full row", F.lit(raw_rows) - F.col("rows"), ("exact duplicate", "first copy kept")),
+            ("business key", F.lit(surplus["business key"]),
+             ("repeated business key", "counted only")),
+        )
+    ])
     rows = counted.select(F.inline(F.array(*[
         F.struct(
             F.lit(field).alias("field"), F.lit(issue_).alias("issue"),

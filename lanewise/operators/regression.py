@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lanewise.functions.tails import f_upper, t_quantile_two_sided, t_two_sided
 from lanewise.operators.features import log_features
 from lanewise.operators.ordering import BUCKETS, winsorize
+from lanewise.operators.sharing import kept as kept_rows
 
 INTERCEPT = "Intercept"
 MAX_TERMS = 3000
@@ -125,11 +126,11 @@ def ols(
     """Ordinary least squares of ``response`` on dummies and numeric columns.
 
     ``categorical`` maps a column to its base level. Rows with any null are dropped. Two
-    passes over the rows: cross moments, then residuals. Only the p x p moments reach the
+    passes over the kept rows: cross moments, then residuals. Only the p x p moments reach the
     driver; more than ``max_terms`` terms are refused before anything is fetched.
     """
     spark = df.sparkSession
-    rows = _complete(df, response, numeric, list(categorical))
+    rows = kept_rows(_complete(df, response, numeric, list(categorical)))
     limit = (max_terms + 1) * (max_terms + 2) // 2
     entries = cross_moments(rows, numeric, categorical).limit(limit + 1).collect()
     if len(entries) > limit:
@@ -222,6 +223,7 @@ def ols_drivers(
     sample = log_features(sample, unit, weight, value, year).select(
         mode[0], terms[0], product[0], "log_uf", "log_weight", "log_value", "year_c"
     )
+    sample = kept_rows(sample)
     sample = winsorize(
         sample, {"log_weight": "log_weight_w", "log_value": "log_value_w"}, limit, buckets
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lanewise.operators.crosstab import abc_lookup
 from lanewise.operators.metrics import score_split, vendor_metrics
 from lanewise.operators.ordering import row_position, running_share
-from lanewise.operators.sharing import settled
+from lanewise.operators.sharing import kept
 
 WEIGHTS = {"otd": 0.40, "delay": 0.30, "value": 0.20, "freq": 0.10}
 ABC_LIMITS = {"A": 0.70, "B": 0.90}
@@ -92,7 +92,7 @@ def scorecard(
 
     The rows are read once: the vendor table is kept, everything after it is vendor-sized.
     """
-    metrics = settled(vendor_metrics(df, vendor, shipment, delay, value))
+    metrics = kept(vendor_metrics(df, vendor, shipment, delay, value))
     classes = abc_class(metrics, vendor, limits)
     scored, watch = score_split(metrics, min_lines)
     ranked = score_rank(weighted_score(score_parts(scored), weights), vendor)

@@ -1,14 +1,18 @@
-"""Keeping an intermediate result, and joining small sides behind a size check."""
+"""Keeping an intermediate result as a table in the session's shared folder.
+
+A kept result is computed once and read from files, by any executor; a lost one costs no
+recompute. It has a known size on disk, so Spark itself decides whether a join broadcasts it.
+Nothing is fetched to the driver, and nothing here depends on a number of rows.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-SETTLED_ROWS = 200_000
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,33 +28,35 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint into the session's shared folder, so that lost executors cost no recompute."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def new_folder(spark: SparkSession, name: str = "kept") -> str:
+    """A new path on storage that all executors share; ``release`` removes it."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
 
 
-def settle(df: DataFrame, max_rows: int = SETTLED_ROWS) -> tuple[DataFrame, bool]:
-    """Compute ``df`` once, for several uses; also tell whether it has at most ``max_rows``.
+def release(spark: SparkSession) -> int:
+    """Remove what operators kept in this session; returns the number of folders.
 
-    A result within the bound becomes a local relation - at most ``max_rows + 1`` rows are
-    fetched - and a larger one is checkpointed from the cached partitions.
+    Call it when the results that were built so far have been written or collected: frames
+    that still read a kept table fail afterwards.
     """
-    cached = df.persist()
-    try:
-        head = cached.limit(max_rows + 1).toArrow()
-        if head.num_rows > max_rows:
-            return materialize(cached), False
-        return df.sparkSession.createDataFrame(head, schema=df.schema), True
-    finally:
-        cached.unpersist()
+    removed = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(files.delete(path, True))
+    return removed
 
 
-def settled(df: DataFrame, max_rows: int = SETTLED_ROWS) -> DataFrame:
-    return settle(df, max_rows)[0]
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, for several uses."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` if it has at most ``max_rows`` rows, else leave the join to shuffle."""
-    kept, fits = settle(small, max_rows)
-    return F.broadcast(kept) if fits else kept
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder: unlike ``kept`` this preserves the partitions."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -19,16 +19,28 @@ from lanewise.operators.ordering import (
     bucket_totals,
     cut_points,
     numeric_rows,
+    row_position,
     with_bucket,
+    with_spread,
 )
-from lanewise.operators.sharing import settle, settled
+from lanewise.operators.sharing import kept
 
 ALPHA = 0.05
+#: Columns of these types count days: the calendar bounds their values.
+WHOLE_DAYS = ("int", "smallint", "tinyint", "date")
+#: Groups of a pairwise test: k groups give k * (k - 1) / 2 pairs.
+MAX_GROUPS = 20_000
 
 
-def _all_rows():
-    """One window over group-level rows."""
-    return Window.partitionBy(F.lit(0))
+def _ranks_by_day(counts: DataFrame, day: str) -> DataFrame:
+    """``counts`` with the average rank of each day and how many rows tie there.
+
+    Days are first added up over the groups: one row per day, as many as the calendar has.
+    """
+    totals = counts.where(F.col(day).isNotNull()).groupBy(day).agg(F.sum("n").alias("tie_size"))
+    upto = F.sum("tie_size").over(Window.partitionBy(F.lit(0)).orderBy(day))
+    ranks = totals.select(day, "tie_size", (upto - (F.col("tie_size") - 1) / 2).alias("avg_rank"))
+    return counts.join(ranks, day)
 
 
 def rank_sums(
@@ -45,22 +57,26 @@ def rank_sums(
     Pass ``counts`` if ``day_counts`` of the same columns is at hand.
     """
     if counts is None:
-        counts = settled(day_counts(df, group, value))
+        counts = kept(day_counts(df, group, value))
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
-    ranked = average_ranks(counts, value, "n", buckets=buckets)
+    if dict(counts.dtypes)[value] in WHOLE_DAYS:
+        ranked = _ranks_by_day(counts, value)
+    else:
+        ranked = average_ranks(counts, value, "n", buckets=buckets)
     n, size = F.col("n").cast("double"), F.col("tie_size").cast("double")
     sums = ranked.groupBy(F.col(group).alias("grp")).agg(
         F.sum("n").alias("n"),
         F.sum(F.col("avg_rank") * n).alias("_ranks"),
         F.sum(n * (size * size - 1)).alias("_ties"),
     )
-    return settled(sums.select(
+    sums = kept(sums)
+    return sums.select(
         "grp", "n",
         (F.col("_ranks") / F.col("n")).alias("mean_rank"),
-        F.sum("n").over(_all_rows()).alias("n_total"),
-        F.sum("_ties").over(_all_rows()).alias("tie_sum"),
-    ))
+        sums.agg(F.sum("n").alias("n")).scalar().alias("n_total"),
+        sums.agg(F.sum("_ties").alias("n")).scalar().alias("tie_sum"),
+    )
 
 
 def kruskal_wallis(sums: DataFrame) -> DataFrame:
@@ -90,14 +106,16 @@ def group_pairs(groups: DataFrame, name: str = "grp") -> DataFrame:
     """All unordered pairs of groups, columns suffixed ``_a`` and ``_b``, ``a`` before ``b``.
 
     Groups are numbered by name and each lists the numbers after its own, so the pairs come
-    from an equi-join on the number.
+    from an equi-join on the number. More than ``MAX_GROUPS`` groups are refused: their pairs
+    would be useless as well as many.
     """
-    numbered = groups.withColumn(
-        "_no", F.row_number().over(_all_rows().orderBy(name))
-    ).withColumn("_last", F.count(F.lit(1)).over(_all_rows()).cast("int"))
+    last = groups.count()
+    if last > MAX_GROUPS:
+        raise ValueError(f"{last} groups have too many pairs; pool the rare ones first")
+    numbered = row_position(groups, [F.col(name)], "_no").withColumn("_last", F.lit(last))
     left = numbered.where(F.col("_no") < F.col("_last")).select(
         *[F.col(c).alias(f"{c}_a") for c in groups.columns],
-        F.explode(F.sequence(F.col("_no") + 1, F.col("_last"))).alias("_no"),
+        F.explode(F.sequence(F.col("_no") + 1, F.col("_last").cast("long"))).alias("_no"),
     )
     right = numbered.select("_no", *[F.col(c).alias(f"{c}_b") for c in groups.columns])
     return left.join(right, "_no").drop("_no")
@@ -130,10 +148,9 @@ def bh_fdr(
     rows = numeric_rows(df, p)
     if not test:
         rows = rows.withColumn("_test", F.lit(0))
+    rows = kept(rows)
     rows = with_bucket(rows, p, cut_points(rows, p, buckets))
     single = F.col("_bucket") % 2 == 1
-    scattered = F.pmod(F.xxhash64(*df.columns), F.lit(64))
-    rows = rows.withColumn("_spread", F.when(single, scattered).otherwise(F.lit(0)))
 
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -151,9 +168,8 @@ def bh_fdr(
     place = F.col("_start") + F.when(single, F.col("_n")).otherwise(
         F.count(F.lit(1)).over(upwards)
     )
-    totals, fits = settle(totals)
-    rows = (
-        rows.join(F.broadcast(totals) if fits else totals, [*keys, "_bucket"])
+    rows = kept(
+        with_spread(rows.join(kept(totals), [*keys, "_bucket"]), "_n")
         .withColumn("_step", F.col(p) * F.col("_m") / place)
         .withColumn("_within", F.min("_step").over(downwards))
     )
@@ -161,8 +177,7 @@ def bh_fdr(
     above = rows.groupBy(*keys, "_bucket").agg(F.min("_step").alias("_least"))
     above = above.select(*keys, "_bucket", F.min("_least").over(later).alias("_above"))
     q = F.least(F.col("_within"), F.col("_above"), F.lit(1.0))
-    # As many rows as the totals.
-    return rows.join(F.broadcast(above) if fits else above, [*keys, "_bucket"]).select(*df.columns, q.alias(out))
+    return rows.join(kept(above), [*keys, "_bucket"]).select(*df.columns, q.alias(out))
 
 
 def significant_pairs(pairs: DataFrame, threshold: float = ALPHA) -> DataFrame:
@@ -193,7 +208,7 @@ def spearman(
     df: DataFrame, x: str = "line_value", y: str = "insurance", buckets: int = BUCKETS
 ) -> DataFrame:
     """One row ``(rho, n, p)`` over rows with both numbers; two-sided p from t, n - 2 df."""
-    rows = numeric_rows(numeric_rows(df, x), y).select(x, y)
+    rows = kept(numeric_rows(numeric_rows(df, x), y).select(x, y))
     x_cuts, y_cuts = cut_points(rows, x, buckets), cut_points(rows, y, buckets)
     counted = rows.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
     ranked = average_ranks(counted, x, "n", "_rx", "_tx", cuts=x_cuts,

@@ -27,12 +27,12 @@ def rounded(df: DataFrame, places: int = 2) -> DataFrame:
 def pivot_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[str, DataFrame]:
     c = columns
     return {
-        "1_OTD_by_mode": otd_by(cleaned, c.mode, c.delay, with_mean=True),
-        "2_OTD_by_group": otd_by(cleaned, c.product, c.delay),
-        "3_OTD_by_country": otd_by(cleaned, c.country, c.delay, min_n=100),
-        "4_unit_freight_by_mode": unit_freight_pivot(cleaned, c.mode, c.unit_freight),
-        "5_cycle_segments": cycle_pivot(cleaned),
-        "6_supplier_summary": supplier_summary(cleaned, c.vendor, c.delay, c.value),
-        "7_freight_share_by_mode": freight_share_pivot(
+        "otd_by_mode": otd_by(cleaned, c.mode, c.delay, with_mean=True),
+        "otd_by_product": otd_by(cleaned, c.product, c.delay),
+        "otd_by_country": otd_by(cleaned, c.country, c.delay, min_n=100),
+        "unit_freight_pivot": unit_freight_pivot(cleaned, c.mode, c.unit_freight),
+        "cycle_pivot": cycle_pivot(cleaned),
+        "supplier_summary": supplier_summary(cleaned, c.vendor, c.delay, c.value),
+        "freight_share_pivot": freight_share_pivot(
             cleaned, c.mode, c.value, c.freight, c.freight_flag),
     }

@@ -29,6 +29,7 @@ from lanewise.operators.quality import (
     unparsed,
     value_counts,
 )
+from lanewise.operators.sharing import new_folder
 from lanewise.sources.delivery import write_by
 
 NUMBER_COLUMNS = {
@@ -114,16 +115,16 @@ def prepare(
 ) -> DataFrame:
     """Deduplicate, parse, derive, flag outliers.
 
-    The fences need a pass over the parsed rows before they can be flagged. With a
-    ``staging`` path the deduplicated rows are written there once, by year, and read back
-    column by column; without it they are computed again for every pass. Rows read from
-    staging are already clustered by year, so ``write_cleaned(..., cluster=False)`` needs
-    no shuffle.
+    The fences need a pass over the parsed rows before they can be flagged, so the
+    deduplicated rows are written once, by year, and read back column by column: to
+    ``staging``, or to a folder beside the session's checkpoints that ``sharing.release``
+    removes. Rows read from there are already clustered by year, so
+    ``write_cleaned(..., cluster=False)`` needs no shuffle.
     """
     parsed = parse(dedup_full_row(raw), extreme_unit_freight)
-    if staging is not None:
-        write_by(parsed, staging, "delivery_year")
-        parsed = raw.sparkSession.read.schema(parsed.schema).parquet(staging)
+    staging = staging or new_folder(raw.sparkSession, "staging")
+    write_by(parsed, staging, "delivery_year")
+    parsed = raw.sparkSession.read.schema(parsed.schema).parquet(staging)
     return iqr_flags(parsed, buckets=buckets)
 
 

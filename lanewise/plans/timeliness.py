@@ -13,14 +13,14 @@ from lanewise.operators.crosstab import (
 )
 from lanewise.operators.metrics import (
     cycle_segments,
-    day_counts,
+    all_day_counts,
     delay_by_group,
     delay_overview,
     late_by_vendor,
     monthly_trend,
     segment_rows,
 )
-from lanewise.operators.sharing import settled
+from lanewise.operators.sharing import kept
 from lanewise.operators.stats import kruskal_dunn, significant_pairs
 from lanewise.schema import Columns
 
@@ -48,9 +48,10 @@ def timeliness_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[
         "country": (c.country, 100, True),
         "terms": (c.terms, 30, True),
     }
+    # One pass over the rows for the tables and the tests of all groupings.
+    counted = all_day_counts(cleaned, [column for column, _, _ in groupings.values()], c.delay)
     for name, (column, min_n, collapse) in groupings.items():
-        # One pass over the rows for the table and the tests of a grouping.
-        counts = settled(day_counts(cleaned, column, c.delay))
+        counts = kept(counted[column])
         tests = kruskal_dunn(cleaned, column, c.delay, min_n, collapse, counts=counts)
         sheets[f"delay_by_{name}"] = delay_by_group(
             cleaned, column, c.delay, min_n, collapse, counts)

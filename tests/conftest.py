@@ -19,10 +19,10 @@ def many_buckets(monkeypatch):
 
 
 @pytest.fixture
-def nothing_small(monkeypatch):
-    """No side counts as small: every result is checkpointed and joins shuffle."""
-    from lanewise.operators import sharing
-
-    monkeypatch.setattr(sharing.settle, "__defaults__", (0,))
-    monkeypatch.setattr(sharing.settled, "__defaults__", (0,))
-    monkeypatch.setattr(sharing.checked_broadcast, "__defaults__", (0,))
+def nothing_small(spark):
+    """No side counts as small: every join shuffles."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
