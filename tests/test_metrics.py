@@ -248,4 +248,4 @@ def test_rounding_is_for_views(spark):
         "c2_po2sched int, c3_sched2deliv int, c_total int")
     sheets = pivot_sheets(table, names)
     assert len(sheets) == 7
-    assert sheets["6_supplier_summary"].first()["value"] == 60.0
+    assert sheets["supplier_summary"].first()["value"] == 60.0
