@@ -13,6 +13,9 @@ a text everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +31,9 @@ TOPIC_WORD_BYTES = 4
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.5}
 KEEP = 0.8
 TOLERANCE, CYCLES = 1e-9, 200
-#: Cells, or levels of a dimension, up to which a join broadcasts them; more are shuffled.
+#: Cells up to which a join broadcasts them; more are shuffled.
 BROADCAST_ROWS = 50_000
+ONE_TASK_CELLS = 200_000
 
 
 def _profile(text: pa.Array) -> pa.Array:
@@ -74,8 +78,8 @@ def _small(df: DataFrame) -> DataFrame:
 def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """(level, target): shares that go with a power of the present ones."""
     levels = cells.groupBy(dimension).agg(F.pow(F.sum("tokens"), power).alias("size"))
-    total = levels.agg(F.sum("size")).first()[0]
-    return levels.select(dimension, (F.col("size") / F.lit(total or 1.0)).alias("target"))
+    whole = levels.agg(F.sum("size").alias("whole")).scalar()
+    return levels.select(dimension, (F.col("size") / whole).alias("target"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
@@ -84,38 +88,60 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     ``targets`` has (level, target) for each dimension. Levels without a target or with a target
     of 0 get no mass. Targets of a dimension are scaled to those levels that have tokens. Where
     the targets contradict each other on the cells there are, the fit ends after ``CYCLES``.
+
+    Cells are a summary of the corpus: up to ``ONE_TASK_CELLS`` are fitted in one task, more by
+    a shuffle for each step. Both give the same masses.
     """
-    fitted = cells.withColumn("mass", F.col("tokens").cast("double"))
-    known, small = {}, {}
+    wanted = cells
     for d in DIMENSIONS:
         here = targets[d].join(cells.select(d).distinct(), d, "left_semi").filter("target > 0")
-        total = here.agg(F.sum("target")).first()[0] or 1.0
-        known[d] = written(here.select(d, (F.col("target") / total).alias("target")), d)
-        small[d] = known[d].count() <= BROADCAST_ROWS
-        fitted = fitted.join(known[d], d, "left_semi")
-    fitted = written(fitted, "cells")
+        whole = here.agg(F.sum("target").alias("whole")).scalar()
+        wanted = wanted.join(here.select(d, (F.col("target") / whole).alias(f"target_{d}")), d)
+    wanted = written(wanted.withColumn("mass", F.col("tokens").cast("double")), "cells")
+    if wanted.count() <= ONE_TASK_CELLS:
+        fitted = wanted.repartition(1).mapInArrow(_fit, wanted.schema)
+    else:
+        fitted = _fit_by_shuffles(wanted)
+    return fitted.drop(*(f"target_{d}" for d in DIMENSIONS))
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [batch for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts)
+    mass = table.column("mass").to_numpy().copy()
+    sides = []
+    for d in DIMENSIONS:
+        _, first, level = np.unique(
+            np.array(table.column(d).to_pylist(), dtype=object).astype(str),
+            return_index=True, return_inverse=True)
+        sides.append((level, table.column(f"target_{d}").to_numpy()[first]))
     for _ in range(CYCLES):
-        for d in DIMENSIONS:
-            sums = fitted.groupBy(d).agg(F.sum("mass").alias("now"))
-            factor = known[d].join(sums, d).select(
-                d, (F.col("target") / F.col("now")).alias("factor"))
-            factor = F.broadcast(factor) if small[d] else factor
-            fitted = fitted.join(factor, d).withColumn(
-                "mass", F.col("mass") * F.col("factor")).drop("factor")
-        fitted = written(fitted, "cells")
-        if _error(fitted, known) < TOLERANCE:
+        for level, target in sides:
+            mass *= (target / np.bincount(level, weights=mass))[level]
+        if max(np.abs(np.bincount(level, weights=mass) - t).max() for level, t in sides) < TOLERANCE:
             break
-    return fitted
+    place = table.column_names.index("mass")
+    yield from table.set_column(place, "mass", pa.array(mass)).to_batches()
 
 
-def _error(cells: DataFrame, known: dict[str, DataFrame]) -> float:
-    """The largest gap between a level's share and its target."""
-    gaps = None
-    for d in DIMENSIONS:
-        sums = cells.groupBy(d).agg(F.sum("mass").alias("now"))
-        gap = known[d].join(sums, d).agg(F.max(F.abs(F.col("now") - F.col("target"))).alias("gap"))
-        gaps = gap if gaps is None else gaps.union(gap)
-    return gaps.agg(F.max("gap")).first()[0] or 0.0
+def _fit_by_shuffles(wanted: DataFrame) -> DataFrame:
+    fitted = wanted
+    for _ in range(CYCLES):
+        for d in DIMENSIONS:
+            now = fitted.groupBy(d).agg(F.sum("mass").alias("now"))
+            fitted = fitted.join(now, d).withColumn(
+                "mass", F.col("mass") * F.col(f"target_{d}") / F.col("now")).drop("now")
+        fitted = written(fitted, "cells")
+        gaps = [
+            fitted.groupBy(d).agg(F.abs(F.sum("mass") - F.first(f"target_{d}")).alias("gap"))
+            for d in DIMENSIONS
+        ]
+        gap = reduce(DataFrame.unionByName, (g.select("gap") for g in gaps))
+        if (gap.agg(F.max("gap")).first()[0] or 0.0) < TOLERANCE:
+            break
+    return fitted.select(*wanted.columns)
 
 
 def probabilities(cells: DataFrame, keep: float) -> DataFrame:

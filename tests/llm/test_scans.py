@@ -131,7 +131,12 @@ def test_mixing_reaches_the_marginals(spark):
     assert mix(documents(spark, rows).limit(0)).count() == 0
 
 
-def test_raking_equals_numpy(spark):
+@pytest.mark.parametrize("one_task", [200_000, 0])
+def test_raking_equals_numpy(spark, monkeypatch, one_task):
+    from lanewise.llm import mixing
+
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", one_task)
+    monkeypatch.setattr(mixing, "CYCLES", 4)
     dice = np.random.default_rng(3)
     table = dice.integers(1, 100, (4, 3, 2)).astype(float)
     cells = [(f"s{a}", f"l{b}", f"t{c}", int(table[a, b, c]))
@@ -144,7 +149,7 @@ def test_raking_equals_numpy(spark):
     }
     got = rake(spark.createDataFrame(cells, "source string, lang string, topic string, "
                                             "tokens long"), targets).collect()
-    for _ in range(300):
+    for _ in range(4):
         for axis, w in enumerate(wanted):
             others = tuple(x for x in range(3) if x != axis)
             shape = [1, 1, 1]
