@@ -569,6 +569,13 @@ def dunn_gated(spark, folder):
     return stats.kruskal_dunn(rows, "product", "unit_price", alpha=0.9999)["pairs"]
 
 
+@_query("dunn_gate_closed")
+def dunn_gate_closed(spark, folder):
+    """No pairs where the overall test is not significant."""
+    rows = delivery_lines(spark, folder, ["product", "unit_price"])
+    return stats.kruskal_dunn(rows, "product", "unit_price", alpha=1e-12)["pairs"]
+
+
 def _p_values(spark, folder):
     """A p-like number per line, with ties, tested per country."""
     rows = delivery_lines(spark, folder, ["id", "item", "country", "insurance", "qty"])

@@ -86,13 +86,20 @@ def day_counts(df: DataFrame, group: str, delay: str = "delay_days") -> DataFram
 def all_day_counts(
     df: DataFrame, groups: Sequence[str], delay: str = "delay_days"
 ) -> dict[str, DataFrame]:
-    """``day_counts`` of several groupings from one pass: rows are counted by all of them at
-    once and kept, and each grouping adds up those counts."""
-    known = df.where(F.col(delay).isNotNull())
-    counts = kept(known.groupBy(*groups, delay).agg(F.count(F.lit(1)).alias("n")))
+    """``day_counts`` of several groupings from one pass: each row is listed once per grouping
+    and counted in its task, so only counts per (grouping, group, day) are shuffled and kept."""
+    types = dict(df.dtypes)
+    listed = F.array(*[
+        F.struct(F.lit(g).alias("grouping"), F.col(g).cast("string").alias("grp")) for g in groups
+    ])
+    counts = kept(
+        df.where(F.col(delay).isNotNull()).select(F.inline(listed), delay)
+        .where(F.col("grp").isNotNull())
+        .groupBy("grouping", "grp", delay).agg(F.count(F.lit(1)).alias("n"))
+    )
     return {
-        group: counts.where(F.col(group).isNotNull()).groupBy(group, delay)
-        .agg(F.sum("n").alias("n"))
+        group: counts.where(F.col("grouping") == group)
+        .select(F.col("grp").cast(types[group]).alias(group), delay, "n")
         for group in groups
     }
 

@@ -20,7 +20,6 @@ from lanewise.operators.metrics import (
     monthly_trend,
     segment_rows,
 )
-from lanewise.operators.sharing import kept
 from lanewise.operators.stats import kruskal_dunn, significant_pairs
 from lanewise.schema import Columns
 
@@ -51,7 +50,7 @@ def timeliness_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[
     # One pass over the rows for the tables and the tests of all groupings.
     counted = all_day_counts(cleaned, [column for column, _, _ in groupings.values()], c.delay)
     for name, (column, min_n, collapse) in groupings.items():
-        counts = kept(counted[column])
+        counts = counted[column]
         tests = kruskal_dunn(cleaned, column, c.delay, min_n, collapse, counts=counts)
         sheets[f"delay_by_{name}"] = delay_by_group(
             cleaned, column, c.delay, min_n, collapse, counts)
