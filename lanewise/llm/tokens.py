@@ -16,8 +16,8 @@ import numpy as np
 
 from lanewise.llm.text import Texts, _hashes, separators
 
-#: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Places for pieces that a worker remembers, and ids it holds for them before it starts anew.
+PLACES, HELD_IDS = 1 << 21, 1 << 23
 
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _SPECIAL = separators((0x00, 0x08), (0x0E, 0x1F), (0x27, 0x27), (0x7F, 0x7F), (0xCA, 0xFF))
@@ -76,6 +76,45 @@ def pieces(texts: Texts) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def _byte_letters() -> str:
+    """The character by which a byte-level vocabulary writes each byte: itself if it is a visible
+    one of Latin-1, else the next one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(hidden)) for b in range(256))
+
+
+class Memory:
+    """Ids by the hash of a piece: each hash has one place, where a later piece ousts an earlier."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(PLACES, dtype=np.uint64)
+        self.first = np.zeros(PLACES, dtype=np.int64)
+        self.size = np.zeros(PLACES, dtype=np.int64)
+        self.ids = np.zeros(HELD_IDS, dtype=np.uint32)
+        self.used = 0
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
+
+    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece are held from now on: (first, number)."""
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        total = int(size.sum())
+        if self.used + total > len(self.ids):
+            self.keys[:] = 0
+            self.used = 0
+            if total > len(self.ids):
+                self.ids = np.zeros(total, dtype=np.uint32)
+        first = self.used + np.cumsum(size) - size
+        self.ids[self.used:self.used + total] = np.fromiter(
+            (x for piece in ids for x in piece), dtype=np.uint32, count=total)
+        self.used += total
+        at = self.place(hashes)
+        self.keys[at], self.first[at], self.size[at] = hashes, first, size
+        return first, size
+
+
 class Encoder:
     """Encodes texts with a vocabulary file; one per task, remembering over a worker's tasks."""
 
@@ -90,7 +129,11 @@ class Encoder:
             not kind.add_prefix_space and kind.use_regex and self.tokenizer.normalizer is None
         )
         # The worker's main module outlives its tasks, which get their functions anew.
-        self.known = vars(__main__).setdefault("known_pieces", {}).setdefault(path, {})
+        held = vars(__main__).setdefault("remembered_pieces", {})
+        if path not in held:
+            held[path] = Memory()
+        self.memory = held[path]
+        self.letters = _byte_letters()
 
     @property
     def width(self) -> int:
@@ -126,26 +169,36 @@ class Encoder:
             for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)
         ]
 
+    def _piece_ids(self, piece: bytes) -> list[int]:
+        letters = piece.decode("latin-1").translate(self.letters)
+        return [token.id for token in self.tokenizer.model.tokenize(letters)]
+
     def _by_piece(self, texts: Texts) -> list[np.ndarray]:
         start = pieces(texts)
         end = np.append(start[1:], len(texts.data))[:len(start)]
         hashes = _hashes(texts.data, np.ones(len(texts.data), dtype=bool), start, end)
-        different, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = different.tolist()
-        if len(self.known) + len(keys) > REMEMBERED:
-            self.known.clear()
-        fresh = [k for k, key in enumerate(keys) if key not in self.known]
+        memory = self.memory
+        place = memory.place(hashes)
+        missing = np.flatnonzero(memory.keys[place] != hashes)
+        different, at, inverse = np.unique(
+            hashes[missing], return_index=True, return_inverse=True)
         data = texts.data.tobytes()
-        strings = [data[start[at[k]]:end[at[k]]].decode() for k in fresh]
-        for k, ids in zip(fresh, self._ids(strings), strict=True):
-            self.known[keys[k]] = ids.tobytes()
-        values = [self.known[key] for key in keys]
-        flat = np.frombuffer(b"".join(values), dtype=np.uint32)
-        length = np.array([len(v) for v in values], dtype=np.int64) >> 2
-        first = np.cumsum(length) - length
-        n = length[inverse]
-        before = np.concatenate([[0], np.cumsum(n)])
-        place = np.arange(before[-1]) + np.repeat(first[inverse] - before[:-1], n)
-        ids = flat[place]
+        fresh = [
+            self._piece_ids(data[a:b])
+            for a, b in zip(start[missing[at]].tolist(), end[missing[at]].tolist(), strict=True)
+        ]
+        # Read what is remembered before new pieces take places, or the memory starts anew.
+        first, size = memory.first[place], memory.size[place]
+        flat = memory.ids
+        full = memory.used + sum(map(len, fresh)) > len(flat)
+        if full:
+            flat = flat[:memory.used].copy()
+        new_first, new_size = memory.add(different, fresh)
+        if full:
+            new_first = new_first + len(flat)
+            flat = np.concatenate([flat, memory.ids[:memory.used]])
+        first[missing], size[missing] = new_first[inverse], new_size[inverse]
+        before = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.arange(before[-1]) + np.repeat(first - before[:-1], size)]
         bounds = before[np.searchsorted(start, texts.bounds)]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
