@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanewise.llm.staging import shuffle_width
 from lanewise.llm.text import U64, mix
 
 #: Members of one side of a tile; a larger group is dealt to several tiles.
@@ -141,4 +142,6 @@ def verified_links(sets: DataFrame, percent: int, tile: int = TILE) -> DataFrame
             "links": pa.array([*[None] * len(spans), *counts[some]], pa.int64()),
         })
 
+    # A tile's work goes with the square of its rows, so tasks aren't merged by their bytes.
+    dealt = dealt.repartition(shuffle_width(dealt), "group", "i", "j")
     return dealt.groupBy("group", "i", "j").applyInArrow(one_tile, LINK_SCHEMA)
