@@ -85,13 +85,34 @@ def cross_table(
 ) -> DataFrame:
     """Summed value, one column per level of ``column``, absent cells 0.
 
-    Without ``levels`` Spark looks them up first, within its pivot limit.
+    Without ``levels`` Spark looks them up first, within its pivot limit; ``cross_cells`` has
+    no such limit.
     """
     known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
     pivot = known.groupBy(row).pivot(column, list(levels) if levels else None)
     return pivot.agg(exact_sum(F.col(value))).na.fill(0.0)
 
 
+def cross_cells(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """``(row, column, value)``: summed value of the cells that have rows, for any number of
+    levels."""
+    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    return known.groupBy(row, column).agg(exact_sum(F.col(value)).alias("value"))
+
+
+def vendor_product_cells(
+    df: DataFrame,
+    ranked: DataFrame,
+    vendor: str = "Vendor",
+    product: str = "Product Group",
+    value: str = "line_value",
+    top: int = 8,
+) -> DataFrame:
+    """Value of the best-ranked vendors by product, as cells."""
+    best = ranked.orderBy("rank").limit(top).select(vendor)
+    return cross_cells(semi_top_n(df, best, vendor), vendor, product, value)
+
+
 def vendor_product_cross(
     df: DataFrame,
     ranked: DataFrame,

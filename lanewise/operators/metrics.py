@@ -295,23 +295,36 @@ def vendor_metrics(
     shipment: str = "ASN/DN #",
     delay: str = "delay_days",
     value: str = "line_value",
+    shipment_error: float | None = None,
 ) -> DataFrame:
     """Per vendor: rows, shipments, on-time share of all rows, mean lateness, late rows, value.
 
-    The distinct count is taken in two steps - rows are first merged per vendor and
+    With a ``shipment_error`` (a relative standard deviation such as 0.02) shipments are counted
+    approximately, by sketches that merge per vendor without a shuffle of shipments. Else the
+    distinct count is taken in two steps - rows are first merged per vendor and
     shipment - so a vendor with a large part of the rows is spread over its shipments.
     """
     days, late = F.col(delay), positive_part(F.col(delay))
-    by_shipment = df.where(F.col(vendor).isNotNull()).groupBy(vendor, shipment).agg(
+    rows = df.where(F.col(vendor).isNotNull())
+    if shipment_error is None:
+        by_shipment, shipments = rows.groupBy(vendor, shipment), F.count(shipment)
+    else:
+        sketched = rows.groupBy(vendor).agg(
+            F.approx_count_distinct(shipment, shipment_error).alias("_shipments"))
+        by_shipment = rows.groupBy(vendor)
+        shipments = F.first("_shipments")
+    by_shipment = by_shipment.agg(
         F.count(F.lit(1)).alias("_lines"),
         F.count_if(days <= 0).alias("_on_time"),
         F.sum(late).alias("_late_days"),
         F.count(late).alias("_late_n"),
         F.sum(F.col(value).cast("decimal(28,6)")).alias("_value"),
     )
+    if shipment_error is not None:
+        by_shipment = by_shipment.join(sketched, vendor)
     totals = by_shipment.groupBy(vendor).agg(
         F.sum("_lines").alias("lines"),
-        F.count(shipment).alias("asn"),
+        shipments.alias("asn"),
         F.sum("_on_time").alias("_on_time"),
         F.sum("_late_days").alias("_late_days"),
         F.sum("_late_n").alias("late_n"),

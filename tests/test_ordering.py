@@ -143,3 +143,41 @@ def test_bh_matches_step_up(spark, many_buckets, small, request):
         q = step[::-1].cummin()[::-1].clip(upper=1)
         np.testing.assert_allclose(found.loc[ordered.i, "q"], q, rtol=1e-12)
     assert (found["q"] >= found["p"]).all()
+
+
+def test_approximate_quantiles_and_counts(spark):
+    from lanewise.operators.metrics import vendor_metrics
+    from lanewise.operators.ordering import value_summary
+
+    rows = spark.createDataFrame(
+        [("a" if k % 3 else "b", float(k), k // 2, k % 5 - 2, 1.0) for k in range(3000)],
+        "g string, v double, s int, d int, w double")
+    exact = {r["g"]: r for r in value_summary(rows, "v", {"m": 0.5}, ["g"]).collect()}
+    near = {r["g"]: r for r in value_summary(rows, "v", {"m": 0.5}, ["g"], accuracy=1000).collect()}
+    for g in exact:
+        assert exact[g]["n"] == near[g]["n"] and abs(exact[g]["m"] - near[g]["m"]) < 12
+    exact = {r["g"]: r for r in vendor_metrics(rows, "g", "s", "d", "w").collect()}
+    near = {r["g"]: r for r in vendor_metrics(rows, "g", "s", "d", "w", 0.02).collect()}
+    for g in exact:
+        assert abs(exact[g]["asn"] - near[g]["asn"]) <= 0.1 * exact[g]["asn"]
+        assert [exact[g][c] for c in ("lines", "otd", "value")] == [
+            near[g][c] for c in ("lines", "otd", "value")]
+
+
+def test_no_side_of_many_partitions_meets_in_one_task(spark):
+    """What is kept goes to files: no exchange into one partition gets more than a row a task."""
+    from lanewise.operators.features import collapse_rare
+
+    rows = spark.range(200_000, numPartitions=40).selectExpr("id % 7 AS c", "id")
+    out = collapse_rare(rows.selectExpr("cast(c AS string) c", "id"), "c", 10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "LocalTableScan" not in plan
+    assert out.count() == 200_000
+
+
+def test_release_removes_what_was_kept(spark):
+    from lanewise.operators import sharing
+
+    table = sharing.kept(spark.range(10).toDF("x"))
+    assert table.count() == 10
+    assert sharing.release(spark) >= 1 and not sharing._made

@@ -173,3 +173,32 @@ def test_nulls_are_equal_for_duplicates(spark):
     assert quality.dup_count(df, ["a", "b"], "both").first()["n"] == 1
     assert quality.dup_count(df, ["a"], "a").first()["n"] == 2
     assert quality.dedup_full_row(df).count() == 3
+
+
+def test_read_raw_by_name_and_malformed(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("ID", "Country", "X")])
+
+    def folder(name, text, encoding="utf-8"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(text, encoding=encoding)
+        return str(tmp_path / name)
+
+    permuted = folder("permuted", 'Country,ID,X\nFR,1,a\nDE,2,"b ""q"""\n', "utf-8-sig")
+    rows = [tuple(r) for r in read_raw(spark, permuted, schema).collect()]
+    assert rows == [("1", "FR", "a"), ("2", "DE", 'b "q"')]
+    broken = folder("broken", "Country,ID,X\nFR,1,a,surplus\nDE,2\nES,3,c\n")
+    for act in (lambda d: d.count(), lambda d: d.select("ID").collect()):
+        with pytest.raises(Exception):
+            act(read_raw(spark, broken, schema))
+    marked = read_raw(spark, broken, schema, malformed="keep")
+    assert tuple(marked.agg(F.count("_corrupt_record"), F.count("ID")).first()) == (2, 3)
+    with pytest.raises(ValueError, match="lacks"):
+        read_raw(spark, folder("short", "Country,ID\nFR,1\n"), schema)
+    lines = folder("lines", 'Country,ID,X\nFR,1,"a\nb"\n')
+    assert read_raw(spark, lines, schema, multiline=True).first()["X"] == "a\nb"
+    with pytest.raises((PySparkException, Exception)):
+        read_raw(spark, lines, schema).collect()
