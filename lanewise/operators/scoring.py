@@ -12,6 +12,7 @@ from lanewise.operators.metrics import score_split, vendor_metrics
 from lanewise.operators.ordering import row_position, running_share
 from lanewise.operators.sharing import kept
 
+# Fixed values of the score: weights of its parts, and cumulative shares that end classes.
 WEIGHTS = {"otd": 0.40, "delay": 0.30, "value": 0.20, "freq": 0.10}
 ABC_LIMITS = {"A": 0.70, "B": 0.90}
 

@@ -18,6 +18,7 @@ from lanewise.operators.regression import coef_order, ols_drivers
 from lanewise.operators.stats import spearman
 from lanewise.schema import Columns
 
+# The quantiles of the report.
 UNIT_FREIGHT_SHARES = (0.5, 0.75, 0.9, 0.95, 0.99, 0.999)
 
 

@@ -20,7 +20,7 @@ RAW_COLUMNS = [
     "Line Item Insurance (USD)",
 ]
 
-# Columns that get Tukey-fence outlier flags.
+# The columns that get Tukey-fence outlier flags, in layout order.
 OUTLIER_COLUMNS = [
     "qty", "line_value", "pack_price", "unit_price",
     "weight_numeric", "freight_numeric", "insurance",
