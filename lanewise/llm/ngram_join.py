@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lanewise.llm.similarity import prefix_length, verified_links
+from lanewise.llm.similarity import prefix_length, verified_links, with_parts
 from lanewise.llm.staging import components, maybe_keys, shuffle_width, written
 from lanewise.llm.text import U64, WHITE, chunks, mix, shingle_sets, words_of
 
@@ -35,7 +35,7 @@ WORDS = 5
 PERCENT = 80
 TIER = 0.3
 HOT = 32
-_FLUSH = 1_500_000
+_FLUSH = 500_000
 #: Tokens for one reducing task, about 16 bytes each.
 _TASK_TOKENS = 4_000_000
 
@@ -320,17 +320,19 @@ def ngram_join(
     )
     groups = written(components(hub_links(tokens).union(hub_links(more))), "groups")
     groups = groups.union(groups.select("component", "component").distinct())
-    copies = rows.filter("class is not null").groupBy("class").agg(F.count("*").alias("size"))
-    members = groups.groupBy("component").agg(F.count("*").alias("members"))
+    copies = rows.filter("class is not null").groupBy("class").agg(
+        F.count("*").alias("size"), F.max("n_shingles").alias("set_size")
+    )
     candidates = written(
-        groups.join(members, "component").join(copies, F.col("node") == F.col("class"))
-        .select("class", F.col("component").alias("group"), "members", "size"),
-        "candidates",
+        with_parts(
+            groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
+            .join(copies, "class")
+        ), "candidates",
     )
     sets = (
         maybe_keys(class_sets(docs, size), candidates, "class").join(candidates, "class")
         .dropDuplicates(["class"])
-        .select("group", "members", F.col("class").alias("key"), "size", "tokens")
+        .select("group", "parts", F.col("class").alias("key"), "size", "tokens")
     )
     links = written(verified_links(sets, percent), "links")
     joined = components(links.filter("b is not null").select("a", "b"))

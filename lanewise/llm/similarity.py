@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from lanewise.llm.staging import shuffle_width
 from lanewise.llm.text import U64, mix
 
-#: Members of one side of a tile; a larger group is dealt to several tiles.
-TILE = 1024
+#: Members of one side of a tile, and their tokens; a larger group is dealt to several tiles.
+TILE, TILE_TOKENS = 1024, 500_000
 #: Salts of the token orders that a pair has to pass before it is verified.
 ORDERS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0xCBBB9D5DC1059ED8)
 _COLUMNS = 4096
@@ -101,19 +101,30 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
 LINK_SCHEMA = "a long, b long, links long"
 
 
-def verified_links(sets: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """Links within groups: ``sets`` has group, members (of the group), key, size, tokens.
+def with_parts(
+    members: DataFrame, tile: int = TILE, tile_tokens: int = TILE_TOKENS
+) -> DataFrame:
+    """``members`` (group, set_size, ...) with the number of parts their group is dealt into."""
+    groups = members.groupBy("group").agg(
+        F.greatest(
+            F.lit(1), F.ceil(F.count("*") / F.lit(tile)),
+            F.ceil(F.sum("set_size") / F.lit(tile_tokens)),
+        ).cast("int").alias("parts")
+    )
+    return members.join(groups, "group")
+
+
+def verified_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links within groups: ``sets`` has group, parts (of the group), key, size, tokens.
 
     Returns (a, b, null) rows that span each tile's links and (a, null, links) rows that count
     the rows a key links with (``size`` each). Keys are distinct within a group. A group of
-    more than ``tile`` members is dealt into parts by a hash of the key, and each pair of parts
-    is a tile; every pair of members meets in exactly one tile.
+    several parts is dealt into them by a hash of the key, and each pair of parts is a tile;
+    every pair of members meets in exactly one tile.
     """
-    parts = F.greatest(F.lit(1), F.ceil(F.col("members") / F.lit(tile)).cast("int"))
     part = F.pmod(F.xxhash64("key", F.lit(11)), F.col("parts")).cast("int")
     dealt = (
-        sets.withColumn("parts", parts)
-        .withColumn("part", part)
+        sets.withColumn("part", part)
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
             "group", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),

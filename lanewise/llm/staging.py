@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.operators.sharing import shared_folder
+from lanewise.operators.sharing import new_folder
 
 FILTER_BITS = 1 << 23
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path on storage that the driver and all executors share."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path on storage that the driver and all executors share; ``release`` removes it."""
+    return new_folder(spark, name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +48,11 @@ def maybe_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _state(links: DataFrame) -> tuple[int, int | None]:
+    """How many links there are, and a hash of the set of them."""
+    return tuple(links.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that the links (a, b) lead to; both sides are long.
 
@@ -62,6 +65,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter("u <> v").distinct(), "links",
     )
+    state = _state(links)
     for _ in range(max_rounds):
         # Large star: larger neighbours of a node go to the least of the node and its neighbours.
         both = links.select("u", "v").union(links.select(F.col("v"), F.col("u")))
@@ -80,9 +84,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .filter("u <> v").distinct()
         )
         after = written(small, "links")
-        same = after.select("u", "v").exceptAll(links.select("u", "v")).isEmpty()
-        same = same and after.count() == links.count()
-        links = after
-        if same:
+        links, before, state = after, state, _state(after)
+        if state == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 3 << 20
+#: Text of one step; arrays of its words take some fifty times as much for a moment.
+CHUNK_BYTES = 1 << 19
 
 U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -110,6 +111,9 @@ def chunks(
                 texts.data[low:high], texts.bounds[start:end + 1] - low
             )
             start = end
+        # Else the pool of a worker that is used again keeps what its largest batch took.
+        del batch, texts
+        pa.default_memory_pool().release_unused()
 
 
 @dataclass

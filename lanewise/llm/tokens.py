@@ -17,7 +17,7 @@ import numpy as np
 from lanewise.llm.text import Texts, _hashes, separators
 
 #: Places for pieces that a worker remembers, and ids it holds for them before it starts anew.
-PLACES, HELD_IDS = 1 << 21, 1 << 23
+PLACES, HELD_IDS = 1 << 19, 1 << 21
 
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _SPECIAL = separators((0x00, 0x08), (0x0E, 0x1F), (0x27, 0x27), (0x7F, 0x7F), (0xCA, 0xFF))

@@ -72,7 +72,7 @@ def test_repeats_and_slices():
     got = dict(zip(COUNTS, statistics(held)))
     assert got["n_repeat_words"].tolist() == [16, 16]
     batch = pa.RecordBatch.from_pydict({"text": pa.array([text, None, text, "", text])})
-    parts = list(chunks([batch], size=10))
+    parts = list(chunks([batch], size=40))
     assert [len(t) for _, t in parts] == [2, 2, 1]
     assert np.concatenate([words_of(t, WHITE).counts for _, t in parts]).tolist() == [
         17, 0, 17, 0, 17]
