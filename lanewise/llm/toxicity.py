@@ -238,7 +238,8 @@ def toxicity(
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counted = known.filter("fold > 1")
-    labelled = maybe_keys(texts, counted, "doc_id").join(counted, "doc_id")
+    # Labels grow with the documents, so they are shuffled at every size.
+    labelled = maybe_keys(texts, counted, "doc_id").join(counted.hint("merge"), "doc_id")
     counts = written(sequence_counts(labelled), "sequences")
     orders = {k: kept_rows(t, kept) for k, t in shared_tables(counts).items() if k < ORDER}
     held = docs.sparkSession.sparkContext.broadcast(log_ratios(kept_rows(counts, kept), orders))
