@@ -9,15 +9,15 @@ is the difference of its log-likelihoods; a document's is that sum by letter and
 its length, the strongest word, and what strong words add. A logistic regression on these,
 fitted on documents that weren't counted, turns them into a score.
 
-Counts are taken over all labelled documents as a shuffle of distinct sequences. The model keeps
-a sequence if it makes up at least 1 / ``kept`` of the counts of its table in one of the
-classes, so each of the tables has at most 2 * ``kept`` rows, whatever the corpus.
+Counts are taken over all labelled documents as a shuffle of distinct sequences, and every
+sequence keeps its ratio in a table that is never gathered. The distinct words of the documents
+are joined with it; of both tables only a fixed number of rows, the most frequent ones, is
+broadcast, to spare the join their rows. Words that aren't broadcast are joined by row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,10 @@ from lanewise.llm.statistics import one_label
 from lanewise.llm.text import NOT_ALNUM, Texts, Words, chunks, words_of
 
 ORDER = 6
-KEPT = 1 << 19
+#: Most rows of the tables of sequences and words that are broadcast; the others are joined.
+HOT_GRAMS, HOT_WORDS = 1 << 17, 1 << 19
+#: Distinct words of a task before they are handed on.
+HELD_WORDS, HELD_BYTES = 500_000, 32 << 20
 DISCOUNT, CLASS_DISCOUNT = 0.75, 3.0
 THRESHOLD = 0.5
 #: Evidence of a word beyond this many nats is summed up as a feature of its own.
@@ -133,96 +136,231 @@ def shared_tables(counts: DataFrame) -> dict[int, DataFrame]:
     return tables
 
 
-def kept_rows(table: DataFrame, kept: int) -> dict[str, np.ndarray]:
-    """The frequent rows by gram, with the sum of each count over its context's rows.
+def shared_probabilities(counts: DataFrame) -> DataFrame:
+    """(gram, shared): the interpolated Kneser-Ney probability of each sequence.
+
+    Each order has the ends of all sequences of the next one, so every join finds its row.
+    """
+    tables = shared_tables(counts)
+    total = tables[1].agg(F.sum("n")).first()[0] or 0
+    last = tables[1].select("gram", ((F.col("n") + 0.5) / (total + 128.0)).alias("shared"))
+    out = last
+    for order in range(2, ORDER):
+        of = Window.partitionBy(F.shiftright("gram", 8))
+        below = last.select(F.col("gram").alias("end"), F.col("shared").alias("less"))
+        own = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + F.col("left") * F.col("less")
+        last = written(
+            tables[order].withColumns({
+                "n_sum": F.sum("n").over(of), "left": DISCOUNT * F.count("*").over(of),
+                "end": F.col("gram").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1)),
+            }).join(below, "end").select("gram", (own / F.col("n_sum")).alias("shared")),
+            f"shared{order}",
+        )
+        out = out.union(last)
+    return out
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """(gram, n, ratio) of every counted sequence: its occurrences, and log(toxic / ordinary)
+    of its last byte after the others.
 
     ``reserve`` is the sum of what the discount takes from the context's rows.
     """
-    counts = [c for c in table.columns if c != "gram"]
     of = Window.partitionBy(F.shiftright("gram", 8))
-    total = table.agg(*(F.sum(c) for c in counts)).first()
-    often = [F.col(c) >= max(1, (x or 0) / kept) for c, x in zip(counts, total, strict=True)]
-    taken = sum((F.least(F.col(c), F.lit(CLASS_DISCOUNT)) for c in counts), F.lit(0.0))
-    rows = (
-        table.withColumns({f"{c}_sum": F.sum(c).over(of) for c in counts})
-        .withColumns({"types": F.count("*").over(of), "reserve": F.sum(taken).over(of)})
-        .filter(reduce(lambda a, b: a | b, often)).toArrow()
+    taken = sum((F.least(F.col(c), F.lit(CLASS_DISCOUNT)) for c in ("toxic", "ordinary")), F.lit(0.0))
+    size = F.ceil(F.length(F.hex("gram")) / 2).cast("int")
+    end = F.expr("gram & (shiftleft(1L, 8 * (size - 1)) - 1)")
+    n, every = F.col("toxic") + F.col("ordinary"), F.col("toxic_sum") + F.col("ordinary_sum")
+    pooled = F.greatest(n - DISCOUNT, F.lit(0.0)) / every
+    # The share that both classes leave to the shared model, at least of one occurrence.
+    left = F.least(F.lit(1.0), F.greatest(F.col("reserve"), F.lit(1.0)) / every)
+    logs = [
+        F.log(F.when(
+            F.col(f"{c}_sum") > 0,
+            F.greatest(F.col(c) - CLASS_DISCOUNT, F.lit(0.0)) / F.col(f"{c}_sum")
+            + left * F.col("mixed"),
+        ).otherwise(F.col("mixed"))) for c in ("toxic", "ordinary")
+    ]
+    rows = counts.withColumns({
+        "toxic_sum": F.sum("toxic").over(of), "ordinary_sum": F.sum("ordinary").over(of),
+        "types": F.count("*").over(of), "reserve": F.sum(taken).over(of), "size": size,
+    }).withColumn("end", end)
+    shared = shared_probabilities(counts).withColumnRenamed("gram", "end")
+    return (
+        rows.join(shared, "end")
+        .withColumn("mixed", pooled + DISCOUNT * F.col("types") / every * F.col("shared"))
+        .select("gram", n.alias("n"), (logs[0] - logs[1]).alias("ratio"))
     )
-    order = np.argsort(rows.column("gram").to_numpy())
-    return {c: rows.column(c).to_numpy()[order] for c in rows.column_names}
-
-
-def shared_probability(
-    orders: dict[int, dict[str, np.ndarray]], gram: np.ndarray, size: np.ndarray
-) -> np.ndarray:
-    """Interpolated Kneser-Ney probabilities of sequences of ``size`` bytes each."""
-    single = np.full(256, 0.5)
-    single[orders[1]["gram"] & 255] += orders[1]["n"]
-    out = (single / single.sum())[gram & 255]
-    for k in range(2, ORDER):
-        rows = orders[k]
-        long = np.flatnonzero(size >= k)
-        code = gram[long] & ((1 << 8 * k) - 1)
-        context = rows["gram"] >> 8
-        known, at = _find(context, code >> 8)
-        long, code, at = long[known], code[known], at[known]
-        found, place = _find(rows["gram"], code)
-        own = np.where(found, np.maximum(rows["n"][place] - DISCOUNT, 0), 0)
-        left = DISCOUNT * rows["types"][at] * out[long]
-        out[long] = (own + left) / rows["n_sum"][at]
-    return out
 
 
-def log_ratios(
-    rows: dict[str, np.ndarray], orders: dict[int, dict[str, np.ndarray]]
-) -> tuple[np.ndarray, np.ndarray]:
-    """The kept sequences, and log(toxic / ordinary) of their last byte after the others."""
-    gram = rows["gram"]
-    size = np.maximum(1, np.ceil(np.log2(gram + 1.0) / 8)).astype(int)
-    toxic_sum, ordinary_sum = rows["toxic_sum"], rows["ordinary_sum"]
-    every = (toxic_sum + ordinary_sum).astype(float)
-    pooled = np.maximum(rows["toxic"] + rows["ordinary"] - DISCOUNT, 0) / every
-    shared = pooled + DISCOUNT * rows["types"] / every * shared_probability(
-        orders, gram, np.minimum(size, ORDER) - 1)
-    # The share that both classes leave to the shared model, at least of one occurrence.
-    left = np.minimum(1.0, np.maximum(rows["reserve"], 1.0) / every)
-    logs = []
-    for count, total in ((rows["toxic"], toxic_sum), (rows["ordinary"], ordinary_sum)):
-        own = np.maximum(count - CLASS_DISCOUNT, 0) / np.maximum(total, 1)
-        logs.append(np.log(np.where(total > 0, own + left * shared, shared)))
-    return gram, (logs[0] - logs[1]).astype(np.float32)
+def hot_cut(table: DataFrame, most: int) -> int:
+    """The least number of binary digits of ``n`` that at most ``most`` rows have or exceed."""
+    digits = table.groupBy(F.length(F.bin("n")).alias("digits")).count().collect()
+    cut = 65
+    for row in sorted(digits, key=lambda r: -r["digits"]):
+        most -= row["count"]
+        if most < 0:
+            break
+        cut = row["digits"]
+    return cut
+
+
+def hot_rows(table: DataFrame, key: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, sorted, and ratios of the most frequent rows of ``table`` (key, n, ratio)."""
+    rows = table.filter(F.length(F.bin("n")) >= hot_cut(table, most)).select(key, "ratio").toArrow()
+    keys, ratios = (rows.column(c).to_numpy() for c in (key, "ratio"))
+    order = np.argsort(keys)
+    return keys[order], ratios[order]
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are in the sorted ``keys``, and the places there of those that are."""
     if not len(keys):
-        keys = np.full(1, -1)
+        return np.zeros(len(wanted), dtype=bool), np.zeros(0, dtype=np.int64)
     place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[place] == wanted, place
-
-
-def evidence(texts: Texts, grams: np.ndarray, ratios: np.ndarray) -> list[np.ndarray]:
-    """``FEATURES`` of each text: 0 without words."""
-    texts = texts.lower()
-    words = words_of(texts, NOT_ALNUM)
-    one, inverse = distinct_words(texts, words)
-    word, _, code = letters(texts, one)
-    known, place = _find(grams, code)
-    ratio = np.bincount(
-        word[known], weights=ratios[place[known]] if len(ratios) else None, minlength=len(one)
-    )[inverse]
-    n = len(texts)
-    size = np.bincount(words.text, weights=words.end - words.start + 1, minlength=n)
-    strongest = np.zeros(n)
-    np.maximum.at(strongest, words.text, ratio)
-    beyond = np.bincount(words.text, weights=np.maximum(ratio - STRONG, 0), minlength=n)
-    total = np.bincount(words.text, weights=ratio, minlength=n)
-    size = np.maximum(size, 1)
-    return [total / size, total / np.sqrt(size), strongest, np.log1p(beyond)]
-
-
-def toxicity(
-    docs: DataFrame, labels: DataFrame, kept: int = KEPT, threshold: float = THRESHOLD
-) -> DataFrame:
+    known = keys[place] == wanted
+    return known, place[known]
+
+
+def _spelled(texts: Texts, words: Words) -> pa.Array:
+    length = words.end - words.start
+    bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    at = np.arange(bounds[-1]) + np.repeat(words.start - bounds[:-1], length)
+    return pa.Array.from_buffers(
+        pa.large_string(), len(words),
+        [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(texts.data[at].tobytes())],
+    )
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): every different word of the documents and its occurrences."""
+
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        keys, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        keys, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        words = pa.concat_arrays([p[2] for p in parts]).take(pa.array(at))
+        return keys, np.bincount(inverse, weights=counts, minlength=len(keys)), words
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+        pending = 0
+        for _, texts in chunks(batches):
+            texts = texts.lower()
+            words = words_of(texts, NOT_ALNUM)
+            one, inverse = distinct_words(texts, words)
+            parts.append((one.hash, np.bincount(inverse, minlength=len(one)), _spelled(texts, one)))
+            pending += len(one)
+            if len(parts) > 1 and pending > max(100_000, 2 * len(parts[0][0])):
+                parts = [merged(parts)]
+                pending = len(parts[0][0])
+            if pending > HELD_WORDS or sum(p[2].nbytes for p in parts) > HELD_BYTES:
+                yield _words(*merged(parts))
+                parts, pending = [], 0
+        if parts:
+            yield _words(*merged(parts))
+
+    return (
+        docs.select("text").mapInArrow(rows, "word string, n long")
+        .groupBy("word").agg(F.sum("n").alias("n"))
+    )
+
+
+def _words(_: np.ndarray, counts: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [words.cast(pa.string()), pa.array(counts.astype(np.int64))], names=["word", "n"])
+
+
+def word_ratios(words: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(word_key, n, ratio): the evidence of each of ``words``, the sum of its sequences'."""
+    held = words.sparkSession.sparkContext.broadcast(hot_rows(ratios, "gram", HOT_GRAMS))
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches, "word"):
+            one = words_of(texts, NOT_ALNUM)
+            word, _, code = letters(texts, one)
+            found, place = _find(held.value[0], code)
+            total = np.bincount(word[found], held.value[1][place], minlength=len(one))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one.hash.view(np.int64)), batch.column(1), pa.array(total.astype(float))],
+                names=["word_key", "n", "ratio"])
+
+    def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in chunks(batches, "word"):
+            one = words_of(texts, NOT_ALNUM)
+            word, _, code = letters(texts, one)
+            far = ~_find(held.value[0], code)[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one.hash.view(np.int64)[word[far]]), pa.array(code[far])],
+                names=["word_key", "gram"])
+
+    rare = words.mapInArrow(other, "word_key long, gram long").join(
+        ratios.select("gram", "ratio"), "gram")
+    return (
+        words.mapInArrow(known, "word_key long, n long, ratio double")
+        .union(rare.select("word_key", F.lit(0).cast("long"), "ratio"))
+        .groupBy("word_key").agg(F.max("n").alias("n"), F.sum("ratio").alias("ratio"))
+    )
+
+
+_FACTS = (
+    "doc_id long, row_key long, size long, total double, strongest double, beyond double, "
+    "others array<long>, times array<long>"
+)
+
+
+def evidence(texts: DataFrame, ratios: DataFrame) -> DataFrame:
+    """doc_id and ``FEATURES`` of each row of ``texts``: 0 without words."""
+    known = written(word_ratios(written(word_counts(texts), "words"), ratios), "word_ratios")
+    held = texts.sparkSession.sparkContext.broadcast(hot_rows(known, "word_key", HOT_WORDS))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, part in chunks(batches):
+            part = part.lower()
+            words = words_of(part, NOT_ALNUM)
+            keys = words.hash.view(np.int64)
+            found, place = _find(held.value[0], keys)
+            text, ratio = words.text[found], held.value[1][place]
+            n = len(part)
+            size = np.bincount(words.text, words.end - words.start + 1, minlength=n)
+            strongest = np.zeros(n)
+            np.maximum.at(strongest, text, ratio)
+            # What isn't broadcast, once per text and word.
+            owner, key = words.text[~found], keys[~found]
+            order = np.lexsort((key, owner))
+            owner, key = owner[order], key[order]
+            opens = np.ones(len(key), dtype=bool)
+            opens[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+            first = np.flatnonzero(opens)
+            bounds = pa.array(np.searchsorted(owner[first], np.arange(n + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(size.astype(np.int64)),
+                pa.array(np.bincount(text, ratio, minlength=n).astype(float)), pa.array(strongest),
+                pa.array(np.bincount(text, np.maximum(ratio - STRONG, 0), minlength=n).astype(float)),
+                pa.ListArray.from_arrays(bounds, pa.array(key[first])),
+                pa.ListArray.from_arrays(bounds, pa.array(np.diff(np.append(first, len(key))))),
+            ], names=[x.split()[0] for x in _FACTS.split(", ")])
+
+    facts = written(
+        texts.select("doc_id", F.monotonically_increasing_id().alias("row_key"), "text")
+        .mapInArrow(rows, _FACTS), "facts",
+    )
+    pairs = facts.select("row_key", F.explode(F.arrays_zip("others", "times")).alias("o")).select(
+        "row_key", F.col("o.others").alias("word_key"), F.col("o.times").alias("times"))
+    ratio, times = F.col("ratio"), F.col("times")
+    joined = pairs.join(known.filter("ratio <> 0").drop("n"), "word_key").groupBy("row_key").agg(
+        F.sum(times * ratio).alias("more"), F.max("ratio").alias("high"),
+        F.sum(times * F.greatest(ratio - STRONG, F.lit(0.0))).alias("above"),
+    )
+    size = F.greatest(F.col("size"), F.lit(1))
+    total = F.col("total") + F.coalesce("more", F.lit(0.0))
+    return facts.drop("others", "times").join(joined, "row_key", "left").select(
+        "doc_id", (total / size).alias("by_letter"), (total / F.sqrt(size)).alias("by_root"),
+        F.greatest("strongest", "high").alias("strongest"),
+        F.log1p(F.col("beyond") + F.coalesce("above", F.lit(0.0))).alias("strong_sum"),
+    )
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: toxic) and predicted of each row of ``docs``.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and toxic (0 or 1; null ignored, of several
@@ -241,20 +379,8 @@ def toxicity(
     # Labels grow with the documents, so they are shuffled at every size.
     labelled = maybe_keys(texts, counted, "doc_id").join(counted.hint("merge"), "doc_id")
     counts = written(sequence_counts(labelled), "sequences")
-    orders = {k: kept_rows(t, kept) for k, t in shared_tables(counts).items() if k < ORDER}
-    held = docs.sparkSession.sparkContext.broadcast(log_ratios(kept_rows(counts, kept), orders))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, part in chunks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x) for x in evidence(part, *held.value))],
-                names=["doc_id", *FEATURES],
-            )
-
-    facts = written(
-        texts.mapInArrow(rows, "doc_id long, " + ", ".join(f"{x} double" for x in FEATURES)),
-        "evidence",
-    )
+    ratios = written(log_ratios(counts), "ratios")
+    facts = written(evidence(texts, ratios), "evidence")
     vector = array_to_vector(F.array(*FEATURES))
     fitted = facts.join(known.filter("fold = 1"), "doc_id").select(
         F.col("label").cast("double").alias("label"), vector.alias("features")

@@ -9,7 +9,7 @@ from lanewise.llm.html_text import blocks, composed, extract, labelled_bits, mai
 from lanewise.llm.quality_model import quality_model, tree_rules
 from lanewise.llm.quality_rules import binomial_tail, quality_rules
 from lanewise.llm.toxicity import toxicity
-from tests.llm.fixtures import awkward, documents
+from tests.llm.fixtures import awkward, documents, prose
 
 DATA = "/root/testdata/sf0.01"
 
@@ -154,3 +154,27 @@ def test_main_text_of_marked_pages(spark):
         "page_id long, url string, html string, text string")
     assert [r["text"] for r in extract(odd).collect()] == ["", "", ""]
     assert extract(odd.limit(0)).count() == 0
+
+
+def test_rare_expressions_count_in_large_tables(spark, monkeypatch):
+    """Six occurrences among four million letters are evidence, joined or broadcast."""
+    from lanewise.llm import toxicity as module
+
+    base, short, rare = prose(1, 1500), prose(2, 60), "zyzzyxvag"
+    folds = {k: [i for i in range(5000) if zlib.crc32(str(i).encode()) % 5 == k] for k in range(5)}
+    rows, labels = [], []
+    for k, i in enumerate((folds[2] + folds[3])[:800]):
+        rows.append((i, f"{base} {rare if k % 2 and k < 12 else 'and'}"))
+        labels.append((i, k % 2))
+    for k, i in enumerate(folds[1][:80]):
+        rows.append((i, f"{short} {rare if k % 2 else 'and'}"))
+        labels.append((i, k % 2))
+    one, two = folds[0][:2]
+    rows += [(one, f"{short} {rare}"), (two, f"{short} and")]
+    docs = documents(spark, rows)
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for most in (module.HOT_WORDS, 3):
+        monkeypatch.setattr(module, "HOT_WORDS", most)
+        monkeypatch.setattr(module, "HOT_GRAMS", most)
+        score = {r["doc_id"]: r["score"] for r in toxicity(docs, truth).collect()}
+        assert score[one] > 0.5 > score[two] and score[one] > score[two] + 0.2
