@@ -505,7 +505,7 @@ def cell_mask(spark, folder):
 @_query("group_pairs")
 def group_pairs(spark, folder):
     rows = delivery_lines(spark, folder, ["country", "delay_days"])
-    sums = stats.rank_sums(rows, "country", collapse=False)
+    sums = stats.rank_sums(rows, "country", collapse=False, whole_days=True)
     return stats.group_pairs(sums.select("grp", "n", "mean_rank"))
 
 
@@ -551,7 +551,8 @@ def segments_union(spark, folder):
 def kruskal_wallis(spark, folder):
     return _stack("grouping", {
         group: stats.kruskal_wallis(stats.rank_sums(
-            None, group, min_n=_min_rows(group), collapse=group != "product", counts=counts))
+            None, group, min_n=_min_rows(group), collapse=group != "product", counts=counts,
+            whole_days=True))
         for group, counts in _day_counts(spark, folder).items()
     })
 
@@ -559,7 +560,8 @@ def kruskal_wallis(spark, folder):
 @_query("dunn_posthoc")
 def dunn_posthoc(spark, folder):
     rows = delivery_lines(spark, folder, ["country", "delay_days"])
-    return stats.dunn_pairs(stats.rank_sums(rows, "country", min_n=MIN_COUNTRY_ROWS))
+    return stats.dunn_pairs(stats.rank_sums(
+        rows, "country", min_n=MIN_COUNTRY_ROWS, whole_days=True))
 
 
 @_query("dunn_gated")
@@ -596,7 +598,7 @@ def bh_fdr_single(spark, folder):
 @_query("significant_pairs")
 def significant_pairs(spark, folder):
     rows = delivery_lines(spark, folder, ["country", "delay_days"])
-    pairs = stats.dunn_pairs(stats.rank_sums(rows, "country", collapse=False))
+    pairs = stats.dunn_pairs(stats.rank_sums(rows, "country", collapse=False, whole_days=True))
     return stats.significant_pairs(stats.bh_fdr(pairs), 0.9)
 
 

@@ -26,8 +26,8 @@ from lanewise.operators.ordering import (
 from lanewise.operators.sharing import kept
 
 ALPHA = 0.05
-#: Columns of these types count days: the calendar bounds their values.
-WHOLE_DAYS = ("int", "smallint", "tinyint", "date")
+#: Columns of these types have few values; others only if they are declared to be days.
+FEW_VALUES = ("smallint", "tinyint", "date")
 #: Groups of a pairwise test: k groups give k * (k - 1) / 2 pairs.
 MAX_GROUPS = 20_000
 
@@ -51,19 +51,21 @@ def rank_sums(
     collapse: bool = True,
     buckets: int = BUCKETS,
     counts: DataFrame | None = None,
+    whole_days: bool = False,
 ) -> DataFrame:
     """``(grp, n, mean_rank, n_total, tie_sum)`` per group, from average ranks over all rows.
 
-    Pass ``counts`` if ``day_counts`` of the same columns is at hand.
+    Pass ``counts`` if ``day_counts`` of the same columns is at hand, and ``whole_days`` if the
+    calendar bounds the values, so that one task can rank them.
     """
     if counts is None:
         counts = kept(day_counts(df, group, value))
     if collapse:
         counts = collapse_rare(counts, group, min_n, weight="n")
-    if dict(counts.dtypes)[value] in WHOLE_DAYS:
+    if whole_days or dict(counts.dtypes)[value] in FEW_VALUES:
         ranked = _ranks_by_day(counts, value)
     else:
-        ranked = average_ranks(counts, value, "n", buckets=buckets)
+        ranked = average_ranks(counts.where(F.col(value).isNotNull()), value, "n", buckets=buckets)
     n, size = F.col("n").cast("double"), F.col("tie_size").cast("double")
     sums = ranked.groupBy(F.col(group).alias("grp")).agg(
         F.sum("n").alias("n"),
@@ -193,9 +195,10 @@ def kruskal_dunn(
     alpha: float = ALPHA,
     buckets: int = BUCKETS,
     counts: DataFrame | None = None,
+    whole_days: bool = False,
 ) -> dict[str, DataFrame]:
     """The overall test, and the corrected pairs - none unless the overall p is below alpha."""
-    sums = rank_sums(df, group, value, min_n, collapse, buckets, counts)
+    sums = rank_sums(df, group, value, min_n, collapse, buckets, counts, whole_days)
     test = kruskal_wallis(sums)
     overall = test.select("p").first()["p"]
     pairs = dunn_pairs(sums)

@@ -51,7 +51,8 @@ def timeliness_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[
     counted = all_day_counts(cleaned, [column for column, _, _ in groupings.values()], c.delay)
     for name, (column, min_n, collapse) in groupings.items():
         counts = counted[column]
-        tests = kruskal_dunn(cleaned, column, c.delay, min_n, collapse, counts=counts)
+        tests = kruskal_dunn(
+            cleaned, column, c.delay, min_n, collapse, counts=counts, whole_days=True)
         sheets[f"delay_by_{name}"] = delay_by_group(
             cleaned, column, c.delay, min_n, collapse, counts)
         sheets[f"kruskal_{name}"] = tests["test"]

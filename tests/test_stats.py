@@ -196,3 +196,14 @@ def test_ols_refuses_too_many_terms(spark):
         F.concat(F.lit("l"), "id").alias("c"), F.rand(1).alias("x"), F.rand(2).alias("y"))
     with pytest.raises(ValueError, match="more than 5 terms"):
         ols(df, "y", ["x"], {"c": "l0"}, max_terms=5)
+
+
+def test_ints_are_ranked_in_buckets_unless_they_are_days(spark, monkeypatch):
+    def one_task(*_):
+        raise AssertionError("all values in one task")
+
+    rows = spark.createDataFrame(
+        [("ab"[k % 2], k * 7919 % 500 if k % 9 else None) for k in range(2000)], "g string, d int")
+    days = stats.rank_sums(rows, "g", "d", whole_days=True).orderBy("grp").collect()
+    monkeypatch.setattr(stats, "_ranks_by_day", one_task)
+    assert stats.rank_sums(rows, "g", "d").orderBy("grp").collect() == days
