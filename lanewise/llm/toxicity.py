@@ -9,7 +9,8 @@ is the difference of its log-likelihoods; a document's is that sum by letter and
 its length, the strongest word, and what strong words add. A logistic regression on these,
 fitted on documents that weren't counted, turns them into a score.
 
-Counts are taken over all labelled documents as a shuffle of distinct sequences, and every
+Counts are taken over the labelled documents of folds 2 to 4, of five; fold 0 is held out and fold
+1 fits the regression, so expressions that only occur there are unknown. They are a shuffle of distinct sequences, and every
 sequence keeps its ratio in a table that is never gathered. The distinct words of the documents
 are joined with it; of both tables only a fixed number of rows, the most frequent ones, is
 broadcast, to spare the join their rows. Words that aren't broadcast are joined by row.
