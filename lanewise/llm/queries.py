@@ -17,6 +17,8 @@ from lanewise.llm import (
     quality_rules,
     records,
     toxicity,
+    vector_codes,
+    word_trie,
 )
 
 
@@ -66,6 +68,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_vocabulary() -> str:
+    """The vocabulary file of words with end marks, of an installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op8_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.token_records(_table(spark, folder, "documents"), vocabulary())
 
@@ -80,6 +89,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_word_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return word_trie.word_trie(_table(spark, folder, "documents"), word_vocabulary())
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_paragraph_minhash": op2_paragraph_minhash,
@@ -91,9 +108,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_records": op8_token_records,
     "op9_main_text": op9_main_text,
     "op10_quality_rules": op10_quality_rules,
+    "op11_word_trie": op11_word_trie,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
+    "op13_vector_codes": vector_codes.ORACLE_SQL,
 }
