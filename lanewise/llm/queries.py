@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lanewise.llm import (
+    conversations,
     decontaminate,
     html_text,
     mixing,
@@ -93,6 +94,10 @@ def op11_word_trie(spark: SparkSession, folder: str) -> DataFrame:
     return word_trie.word_trie(_table(spark, folder, "documents"), word_vocabulary())
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.conversation_repair(_table(spark, folder, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(_table(spark, folder, "embeddings"))
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_quality_rules": op10_quality_rules,
     "op11_word_trie": op11_word_trie,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_vector_codes": op13_vector_codes,
 }
 
