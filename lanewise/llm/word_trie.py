@@ -142,7 +142,12 @@ class Vocabulary:
             s: token for token, s in spelled.items()
             if token not in self.parts or self._made(token)
         }
-        self.longest = max(map(len, self.by_spelling))
+        by_end: dict[str, set[int]] = {}
+        for spelling in self.by_spelling:
+            if len(spelling) > 2:
+                by_end.setdefault(spelling[-3:], {1, 2}).add(len(spelling))
+        #: The lengths of tokens by their last three symbols, longest first; all may have 1 or 2.
+        self.lengths = {end: tuple(sorted(found)[::-1]) for end, found in by_end.items()}
 
     def _border(self, token: int, side: int) -> list[tuple[int, int]]:
         found, until = [(token, self.never)], self.never
@@ -192,7 +197,7 @@ class Trie:
         last token of the path's first d + 1 symbols, so memory is bounded by the longest word.
         """
         by_spelling, allowed = self.vocabulary.by_spelling, self.allowed
-        longest = self.vocabulary.longest
+        lengths, short = self.vocabulary.lengths, (2, 1)
         spelled = [self.symbols(word) for word in words]
         out: list[list[int]] = [[]] * len(words)
         path, last, size = "", [], []
@@ -202,7 +207,9 @@ class Trie:
             del last[shared:], size[shared:]
             for depth in range(shared, len(word)):
                 end = depth + 1
-                for length in range(min(end, longest), 0, -1):
+                for length in lengths.get(word[end - 3:end], short) if end > 2 else short:
+                    if length > end:
+                        continue
                     token = by_spelling.get(word[end - length:end])
                     if token is not None and (
                         length == end or allowed(last[depth - length], token)
