@@ -241,12 +241,13 @@ def decontaminate(
     Returns doc_id, n_words, n_hit, n_items, items_sha256 (of the ids as strings, sorted and
     comma-joined; of the empty string without any), contaminated (n_hit > 0), and hits (word
     ranges [from, to, ...]) and items. A null text has no words, and an item without words no
-    window. Items with a null id are left out; items of one id count once. Repeated rows stay.
+    window. Items of one id count once, as do those with a null id, which the list of ids leaves out.
+    Repeated rows stay.
     An empty benchmark hits nothing; empty documents give an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "item_id is not null and text is not null"
+        "text is not null"
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total / block_bytes) + 1
@@ -269,12 +270,13 @@ def decontaminate(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             merged = [_merged(x or []) for x in batch.column(3).to_pylist()]
-            items = [sorted(set(x or [])) for x in batch.column(4).to_pylist()]
+            items = [sorted(set(x or []), key=lambda i: (i is None, i)) for x in batch.column(4).to_pylist()]
             n_hit = [sum(x[1::2]) - sum(x[::2]) for x in merged]
+            listed = [",".join(i for i in x if i is not None) for x in items]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(n_hit, pa.int64()),
                 pa.array([len(x) for x in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
+                pa.array([hashlib.sha256(x.encode()).hexdigest() for x in listed]),
                 pa.array([x > 0 for x in n_hit], pa.bool_()),
                 pa.array(merged, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())),
             ], names=[x.split()[0] for x in RESULT.split(", ")])

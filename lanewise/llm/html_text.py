@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 FIT_PAGES, FIT_CHARS = 150, 60_000
 STEPS, RATE, RIDGE = 120, 0.15, 1e-3
 
+#: A tag that isn't closed ends its search at the next "<" outside quotes, so that pages full of
+#: broken tags are read in linear time.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-    r"|<[!?/][^>]*>",
+    r"|<(script|style|noscript|template|svg|iframe)\b[^<>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>"
+    r"|<[!?/][^<>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -96,20 +99,71 @@ def _own_bits(tag: str, attributes: str) -> int:
     return bits
 
 
+class _Open:
+    """The open tags of a page, and how many there are of each name."""
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, int]] = [("", 0)]
+        self.counts: Counter[str] = Counter()
+        #: Of each open block-level tag, the inline tags open directly in it.
+        self.inline: list[Counter[str]] = [Counter()]
+
+    @property
+    def bits(self) -> int:
+        return self.tags[-1][1]
+
+    def add(self, tag: str, bits: int) -> None:
+        self.tags.append((tag, bits))
+        self.counts[tag] += 1
+        if tag in BLOCKS:
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][tag] += 1
+
+    def cut(self, size: int) -> None:
+        """Leaves the outer ``size`` tags open."""
+        while len(self.tags) > size:
+            tag, _ = self.tags.pop()
+            self.counts[tag] -= 1
+            if tag in BLOCKS:
+                self.inline.pop()
+            else:
+                self.inline[-1][tag] -= 1
+
+    def end(self, tag: str) -> None:
+        """An end tag; that of an inline tag doesn't end blocks."""
+        known = self.counts if tag in BLOCKS else self.inline[-1]
+        if known[tag]:
+            k = len(self.tags) - 1
+            while self.tags[k][0] != tag:
+                k -= 1
+            self.cut(k)
+
+    def before_block(self, tag: str) -> None:
+        """A block-level tag ends an open paragraph, and an open one of its kind."""
+        ends = {"p", *SIBLINGS.get(tag, ())}
+        left = sum(self.counts[name] for name in ends)
+        k, size = len(self.tags) - 1, len(self.tags)
+        while left and self.tags[k][0] not in LIMITS:
+            if self.tags[k][0] in ends:
+                left, size = left - 1, k
+            k -= 1
+        self.cut(size)
+
+
 def blocks(page: str) -> list[tuple[str, int]]:
     """The text of each leaf block, with references decoded and white space folded, and its bits."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, int]] = [("", 0)]
+    stack = _Open()
     held: list[str] = []
     linked = 0
-    links = 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append((text, stack[-1][1] | _text_bits(text, linked, not out)))
+            out.append((text, stack.bits | _text_bits(text, linked, not out)))
         linked = 0
 
     at = 0
@@ -118,7 +172,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
         at = m.end()
         if piece:
             held.append(piece)
-            if links:
+            if stack.counts["a"]:
                 linked += len(piece)
         tag = m[3]
         if tag is None:
@@ -128,30 +182,14 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if block:
             close()
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    for name, _ in stack[k:]:
-                        links -= name == "a"
-                    del stack[k:]
-                    break
-                if not block and stack[k][0] in BLOCKS:
-                    break  # an inline end tag doesn't end blocks
+            stack.end(tag)
         elif tag in VOID:
             if tag in ("br", "hr"):
                 held.append(" ")
         else:
             if block:
-                ends = SIBLINGS.get(tag, ())
-                for k in range(len(stack) - 1, 0, -1):
-                    name = stack[k][0]
-                    if name == "p" or name in ends:
-                        for inner, _ in stack[k:]:
-                            links -= inner == "a"
-                        del stack[k:]
-                    elif name in LIMITS:
-                        break
-            stack.append((tag, stack[-1][1] | _own_bits(tag, m[4])))
-            links += tag == "a"
+                stack.before_block(tag)
+            stack.add(tag, stack.bits | _own_bits(tag, m[4]))
     if page[at:]:
         held.append(page[at:])
     close()
@@ -284,8 +322,9 @@ def variants(pages: list[str]) -> Iterator[str]:
     for page in pages:
         name = MAIN_NAMES[dice.integers(len(MAIN_NAMES))]
         mark = f'class="{name}" data-labelled-main' if name else "data-labelled-main"
-        yield ARTICLE.sub(lambda m: f"<{m[1]}article" + ("" if m[1] else " data-labelled-main"),
-                          page)
+        for tag in ("article", "div"):
+            yield ARTICLE.sub(
+                lambda m, t=tag: f"<{m[1]}{t}" + ("" if m[1] else " data-labelled-main"), page)
         for tag in ("div", "article", "main", "section"):
             known = tag != "div"
             changed = ARTICLE.sub(
@@ -313,12 +352,16 @@ def composed(n: int = 24) -> list[str]:
                 for _ in range(dice.integers(low, high))]
         return " ".join(some)
 
+    def furniture() -> str:
+        form = FURNITURE[dice.integers(len(FURNITURE))]
+        return form.format(*(words(1, 14) + "." * int(dice.integers(2)) for _ in range(6)))
+
     return [
         f"<html><head><title>{words(3, 9)}</title></head><body><nav><ul>"
         + "".join(f'<li><a href="#">{words(1, 3)}</a></li>' for _ in range(5))
-        + f"</ul></nav><article><h1>{words(3, 9)}</h1>"
-        + "".join(f"<p>{words(4, 80)}.</p>" for _ in range(dice.integers(1, 8)))
-        + f"</article><footer>&copy; {words(2, 8)}</footer></body></html>"
+        + f"</ul></nav>{furniture()}{furniture()}<article><h1>{words(3, 9)}</h1>"
+        + "".join(f"<p>{words(1 if k % 3 else 8, 80)}.</p>" for k in range(dice.integers(1, 8)))
+        + f"</article>{furniture()}<footer>&copy; {words(2, 8)}</footer></body></html>"
         for _ in range(n)
     ]
 
@@ -343,16 +386,19 @@ def main_text(page: str | None, chain: Chain) -> str:
     return "\n\n".join(text for (text, _), kept in zip(parts, keep, strict=True) if kept)
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(
+    pages: DataFrame, fit_pages: int = FIT_PAGES, fit_chars: int = FIT_CHARS
+) -> DataFrame:
     """page_id, url, text and n_chars (its code points) of each row of ``pages``.
 
     ``pages`` has page_id, url and html. Blocks of the article are joined by two line feeds; a
     null or empty page, or one without an article, has an empty text. Markup that is cut off or
     closed wrongly is read as far as it goes. Repeated rows stay; other columns are ignored; an
-    empty table gives an empty result.
+    empty table gives an empty result. The chain is fitted on at most ``fit_pages`` pages that mark
+    their article, of at most ``fit_chars`` characters each; all pages are decoded whole.
     """
     pages = pages.select("page_id", "url", "html")
-    chain = fit(pages)
+    chain = fit(pages, fit_pages, fit_chars)
     schema = pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -106,6 +106,31 @@ def test_blocks_of_broken_markup():
     assert [t for t, _ in blocks("<" * 50 + "a < b")][0].endswith("a < b")
 
 
+@pytest.mark.parametrize("unit", [
+    "<a x ", '<a "', "<a '", "<! ", "<script x ", "</b ", "<!-- ", "<b>", "<b><li>", "<i></b>",
+    '<a b="c', "<p><b>", "<div>", "&amp", "<a href='x\">",
+])
+def test_broken_pages_take_linear_time(unit):
+    import time
+
+    page = "<b>" * 20_000 + unit * (2_000_000 // len(unit)) + "<li>" * 20_000 + "</i>" * 20_000
+    begun = time.process_time()
+    blocks(page)
+    assert time.process_time() - begun < 15
+
+
+def test_unmarked_articles(spark):
+    """Pages whose article is a bare div, decoded by the chain of the marked ones."""
+    import re
+
+    pages = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    chain = train(labelled_bits(pages[:150]))
+    same = sum(
+        main_text(re.sub(r"<(/?)article\b", r"<\1div", page), chain) == main_text(page, chain)
+        for page in pages)
+    assert same >= 0.95 * len(pages)
+
+
 def test_chain_decodes_the_best_sequence():
     chain = train(labelled_bits([]))
     bits = [b for _, b in blocks(composed(1)[0])]

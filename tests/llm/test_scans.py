@@ -80,8 +80,8 @@ def brute_hits(text, items):
             for j in range(len(own) - n + 1):
                 if own[j:j + n] == w[k:k + n]:
                     hit.update(range(j, j + n))
-                    names.add(str(name))
-    listed = ",".join(sorted(names))
+                    names.add(name if name is None else str(name))
+    listed = ",".join(sorted(names - {None}))
     return len(own), len(hit), len(names), hashlib.sha256(listed.encode()).hexdigest(), bool(hit)
 
 
@@ -99,9 +99,25 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
     bench = spark.createDataFrame([(i, t, "x") for i, t in items],
                                   "item_id int, text string, doc_id string")
     got = decontaminate(documents(spark, rows), bench, block_bytes=block_bytes).collect()
-    known = [(i, t) for i, t in items if i is not None]
     assert sorted((repr(r[0]), *r[1:6]) for r in got) == sorted(
-        (repr(i), *brute_hits(t, known)) for i, t in rows)
+        (repr(i), *brute_hits(t, items)) for i, t in rows)
+
+
+def test_items_without_id_are_hit(spark):
+    """Their windows count in the query as in its SQL."""
+    import duckdb
+
+    from lanewise.llm.decontaminate import ORACLE_SQL
+
+    item = prose(77, 10)
+    docs = documents(spark, [(1, f"a {item} b"), (2, "nothing")])
+    bench = spark.createDataFrame([(None, item), (None, item + " c")], "item_id int, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.select("doc_id", "text").toArrow())
+    connection.register("benchmark", bench.toArrow())
+    got = decontaminate(docs, bench).drop("hits", "items")
+    assert sorted(map(tuple, got.collect())) == sorted(connection.execute(ORACLE_SQL).fetchall())
+    assert [r["contaminated"] for r in got.orderBy("doc_id").collect()] == [True, False]
 
 
 def test_decontamination_of_nothing(spark):
