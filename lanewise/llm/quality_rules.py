@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from math import exp, lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lanewise.functions.tails import binomial_lower
 from lanewise.llm.staging import written
 from lanewise.llm.statistics import SHARES, one_label, share_columns, text_statistics
 
@@ -35,23 +35,10 @@ ALPHA = 0.05
 #: A cut must hit this share of the bad documents, and this many times the good one's share.
 LEAST_HIT, LEAST_LIFT = 0.02, 10.0
 _ACCURACY = 20_000
-#: Strata up to which cutoffs are broadcast; of more, they are shuffled.
-BROADCAST_ROWS = 1_000
 
 SIDES = {"low": "<", "high": ">"}
 
 
-def binomial_tail(hits: int, n: int, rate: float) -> float:
-    """The chance of at most ``hits`` in ``n`` draws of chance ``rate``."""
-    top = min(hits, n)
-    terms = [
-        lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(rate) + (n - k) * log1p(-rate)
-        for k in range(top, max(-1, top - 2000), -1)
-    ]
-    peak = max(terms)
-    return min(1.0, exp(peak) * sum(exp(t - peak) for t in terms))
-
-
 def _cut(name: str, side: str, level: int) -> str:
     return f"{name}_{side}_{level}"
 
@@ -64,11 +51,6 @@ def _beyond(level: int) -> F.Column:
     ))
 
 
-def _small(strata: DataFrame) -> DataFrame:
-    """Broadcast behind a count; a larger side is left to a shuffle."""
-    return F.broadcast(strata) if strata.count() <= BROADCAST_ROWS else strata
-
-
 def cutoffs(selection: DataFrame) -> DataFrame:
     """A row per stratum with the cutoffs of all levels, null where a cut isn't worth it."""
     good = F.col("label") == 1
@@ -81,7 +63,7 @@ def cutoffs(selection: DataFrame) -> DataFrame:
         for name in SHARES for side in SIDES for k in range(len(LEVELS))
     ))
     wide = written(wide, "quantiles")
-    joined = selection.join(_small(wide), "stratum")
+    joined = selection.join(wide, "stratum")
     share = {}
     for name in SHARES:
         for side, sign in SIDES.items():
@@ -99,7 +81,7 @@ def cutoffs(selection: DataFrame) -> DataFrame:
 
 def certified(holdout: DataFrame, cuts: DataFrame, limit: float, alpha: float) -> DataFrame:
     """(stratum, level): the strictest level that passed, of strata where one did."""
-    rejected = holdout.filter("label = 1").join(_small(cuts), "stratum").groupBy("stratum").agg(
+    rejected = holdout.filter("label = 1").join(cuts, "stratum").groupBy("stratum").agg(
         F.count("*").alias("n"),
         *(F.sum(_beyond(k).cast("int")).alias(f"hits_{k}") for k in range(len(LEVELS))),
     )
@@ -112,7 +94,7 @@ def certified(holdout: DataFrame, cuts: DataFrame, limit: float, alpha: float) -
     def passes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame["passed"] = [
-                binomial_tail(int(x.hits), int(x.n), limit) <= bound for x in frame.itertuples()
+                binomial_lower(int(x.hits), int(x.n), limit) <= bound for x in frame.itertuples()
             ]
             yield frame[["stratum", "level", "passed"]]
 
@@ -135,7 +117,7 @@ def quality_rules(
     ``docs`` has doc_id, text and lang (absent or null: one stratum of its own); ``labels`` has
     doc_id and quality (1 good, 0 bad, null ignored; of several rows the lowest counts). Other
     columns are ignored. A null or empty text has no words and fails the base rules. Repeated
-    rows stay, each judged alike. Without labels, or for a null doc_id among them, only the base
+    rows stay, each judged by its own text; of the rows of one doc_id one counts as labelled. Without labels, or for a null doc_id among them, only the base
     rules hold; an empty table gives an empty result. ``failed`` names the first reason.
     """
     stats = written(text_statistics(docs), "statistics").withColumns(share_columns())
@@ -146,13 +128,16 @@ def quality_rules(
     stats = stats.withColumn("base_failed", failed)
     labelled = written(
         stats.filter(~F.col("base_failed")).select("doc_id", "stratum", *SHARES)
-        .join(one_label(labels, "quality"), "doc_id"), "labelled",
+        .join(one_label(labels, "quality"), "doc_id")
+        # One draw per document: its rows aren't independent of each other.
+        .groupBy("doc_id").agg(F.min(F.struct("stratum", *SHARES, "label")).alias("one"))
+        .select("doc_id", "one.*"), "labelled",
     )
     half = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(2))
     cuts = written(cutoffs(labelled.filter(half == 0)), "cutoffs")
     levels = certified(labelled.filter(half == 1), cuts, limit, alpha)
     rules = written(cuts.join(levels, "stratum"), "rules")
-    judged = stats.join(_small(rules), "stratum", "left")
+    judged = stats.join(rules, "stratum", "left")
     reasons = [
         F.when(F.col("n_words") < MIN_WORDS, F.lit("few words")),
         F.when(F.col("base_failed"), F.lit("repeated words")),

@@ -7,7 +7,7 @@ import pytest
 
 from lanewise.llm.html_text import blocks, composed, extract, labelled_bits, main_text, train
 from lanewise.llm.quality_model import quality_model, tree_rules
-from lanewise.llm.quality_rules import binomial_tail, quality_rules
+from lanewise.llm.quality_rules import quality_rules
 from lanewise.llm.toxicity import toxicity
 from tests.llm.fixtures import awkward, documents, prose
 
@@ -66,10 +66,62 @@ def test_no_labels_and_no_documents(spark):
     assert quality_rules(docs.limit(0), none).count() == 0
 
 
-def test_binomial_tail():
-    for hits, n, rate in ((0, 10, 0.1), (3, 40, 0.05), (40, 40, 0.3), (12, 500, 0.02)):
-        exact = sum(math.comb(n, k) * rate**k * (1 - rate)**(n - k) for k in range(hits + 1))
-        assert abs(binomial_tail(hits, n, rate) - exact) < 1e-9
+def brute_levels(rows, limit, alpha):
+    """{stratum: level} by plain Python, of (doc_id, stratum, label, shares) rows, cuts given."""
+    from lanewise.llm.quality_rules import LEVELS
+
+    out = {}
+    strata = {s for _, s, _, _ in rows}
+    for stratum in strata:
+        own = {i: hits for i, s, label, hits in rows if s == stratum and label == 1}
+        for level in range(len(LEVELS)):
+            n, hits = len(own), sum(level >= h for h in own.values())
+            chance = sum(math.comb(n, k) * limit**k * (1 - limit)**(n - k)
+                         for k in range(hits + 1))
+            if chance > alpha / len(strata):
+                break
+            out[stratum] = level
+    return out
+
+
+def test_certified_levels_equal_brute_force(spark):
+    """A document of statistic 10 + k is first rejected at level k."""
+    import random
+
+    from lanewise.llm.quality_rules import LEVELS, SHARES, SIDES, _cut, certified
+
+    dice = random.Random(4)
+    rows = []
+    for i in range(6000):
+        stratum = ["a", "b", "c", ""][dice.randrange(4)]
+        share = {"a": 0.002, "b": 0.008, "c": 0.03, "": 0.0005}[stratum]
+        level = next((k for k in range(len(LEVELS)) if dice.random() < share), 99)
+        rows.append((i, stratum, int(dice.random() < 0.9), level))
+    names = list(SHARES)
+    holdout = spark.createDataFrame(
+        [(s, float(h), label) for _, s, label, h in rows], f"stratum string, {names[0]} double, label int")
+    for name in names[1:]:
+        holdout = holdout.withColumn(name, holdout[names[0]] * 0)
+    cuts = spark.createDataFrame([(s,) for s in ("a", "b", "c", "")], "stratum string")
+    from pyspark.sql import functions as F
+
+    cuts = cuts.select("stratum", *(
+        (F.lit(k + 0.5) if name == names[0] and side == "low" else F.lit(None).cast("double"))
+        .alias(_cut(name, side, k))
+        for name in names for side in SIDES for k in range(len(LEVELS))))
+    got = {r.stratum: r.level for r in certified(holdout, cuts, 0.01, 0.05).collect()}
+    assert got == brute_levels(rows, 0.01, 0.05) and 0 < len(got) < 4
+
+
+def test_repeated_rows_are_no_new_draws(spark):
+    rows = [(k, " ".join(f"{'w' * 60 if k % 10 == 0 else 'word'}{(k * 31 + j) % 997}"
+                         for j in range(25))) for k in range(900)]
+    labels = spark.createDataFrame([(k, int(k % 10 > 0)) for k in range(900)],
+                                   "doc_id long, quality int")
+    one, many = (
+        {r["doc_id"]: r["kept"] for r in quality_rules(documents(spark, x), labels).collect()}
+        for x in (rows, rows * 8))
+    assert one == many and all(one.values())
 
 
 def test_thresholds_reject_only_what_is_certified(spark):
