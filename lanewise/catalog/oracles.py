@@ -482,10 +482,11 @@ def _counts(column: str) -> str:
             f"FROM lines WHERE {column} IS NOT NULL GROUP BY ALL")
 
 
-def _rules(rules: list[tuple[str, str, str]], source: str) -> str:
+def _rules(rules: list[tuple[str, str, str, str]], source: str) -> str:
     return _union([
-        f"SELECT '{field}' AS field, '{issue}' AS issue, count(*) AS n FROM {source} "
-        f"WHERE {condition}" for field, issue, condition in rules
+        f"SELECT '{field}' AS field, '{issue}' AS issue, '{treatment}' AS treatment, "
+        f"count(*) AS n FROM {source} WHERE {condition}"
+        for field, issue, treatment, condition in rules
     ])
 
 
@@ -496,32 +497,40 @@ def _decision_log() -> str:
              "Delivered to Client Date": "delivered_date",
              "Delivery Recorded Date": "recorded_date"}
     rules = [
-        (pq, "not yet in the quotation process", "pq_flag = 'pre_pq'"),
-        (pq, "date not captured", "pq_flag = 'not_captured'"),
-        (po, "shipped from a distribution centre, no vendor order", "po_flag = 'from_rdc'"),
-        (po, "date not captured", "po_flag = 'not_captured'"),
-        (pq, "unreadable date", "pq_flag = 'date' AND pq_date IS NULL"),
-        (po, "unreadable date", "po_flag = 'date' AND po_date IS NULL"),
-        *[(text, "unreadable date", f"{_q(text)} IS NOT NULL AND {d} IS NULL")
-          for text, d in dates.items()],
-        *[(freight, f"text marker {kind}", f"freight_flag = '{kind}'")
-          for kind in ("included", "invoiced", "reference")],
-        (weight, "text reference", "flag_weight_reference"),
-        (weight, "number <= 0", "flag_weight_not_positive"),
-        ("Line Item Value", "value is 0", "flag_zero_value"),
-        *[(c, "outside the Tukey fences", f"flag_{c}_outlier") for c in OUTLIER_COLUMNS],
-        ("cycle segments", "negative cycle", "flag_negative_cycle"),
-        ("unit_freight", "above the extreme threshold", "flag_unit_freight_extreme"),
+        (pq, "not yet in the quotation process", "pq_flag = pre_pq, date null",
+         "pq_flag = 'pre_pq'"),
+        (pq, "date not captured", "pq_flag = not_captured, date null",
+         "pq_flag = 'not_captured'"),
+        (po, "shipped from a distribution centre, no vendor order",
+         "po_flag = from_rdc, date null", "po_flag = 'from_rdc'"),
+        (po, "date not captured", "po_flag = not_captured, date null",
+         "po_flag = 'not_captured'"),
+        (pq, "unreadable date", "date set to null, row flagged",
+         "pq_flag = 'date' AND pq_date IS NULL"),
+        (po, "unreadable date", "date set to null, row flagged",
+         "po_flag = 'date' AND po_date IS NULL"),
+        *[(text, "unreadable date", "date null, counted",
+           f"{_q(text)} IS NOT NULL AND {d} IS NULL") for text, d in dates.items()],
+        *[(freight, f"text marker {kind}", "freight_flag set, number null",
+           f"freight_flag = '{kind}'") for kind in ("included", "invoiced", "reference")],
+        (weight, "text reference", "number null, flag_weight_reference", "flag_weight_reference"),
+        (weight, "number <= 0", "number null", "flag_weight_not_positive"),
+        ("Line Item Value", "value is 0", "kept, flag_zero_value", "flag_zero_value"),
+        *[(c, "outside the Tukey fences", f"flag_{c}_outlier, kept", f"flag_{c}_outlier")
+          for c in OUTLIER_COLUMNS],
+        ("cycle segments", "negative cycle", "flag_negative_cycle", "flag_negative_cycle"),
+        ("unit_freight", "above the extreme threshold",
+         "flag_unit_freight_extreme, not used in regression", "flag_unit_freight_extreme"),
     ]
-    years = [(f"{name} Date", "year outside the plausible range",
+    years = [(f"{name} Date", "year outside the plausible range", "flag_bad_date, value kept",
               f"year({d}) NOT BETWEEN 2000 AND 2025")
              for name, d in (("PQ", "pq_date"), ("PO", "po_date"),
                              ("Scheduled", "scheduled_date"), ("Delivered", "delivered_date"),
                              ("Recorded", "recorded_date"))]
     return _from_prepared(_union([
-        _DUPLICATES.format(issue_id="'repeated key' AS issue,",
-                           issue_row="'exact duplicate' AS issue,",
-                           issue_key="'repeated business key' AS issue,"),
+        _DUPLICATES.format(issue_id="'repeated key' AS issue, 'counted only' AS treatment,",
+                           issue_row="'exact duplicate' AS issue, 'first copy kept' AS treatment,",
+                           issue_key="'repeated business key' AS issue, 'counted only' AS treatment,"),
         _rules(rules, "prepared"),
         f"SELECT * FROM ({_rules(years, 'prepared')}) WHERE n > 0",
     ]))

@@ -32,7 +32,7 @@ from lanewise.operators.features import (
 )
 from lanewise.operators.regression import Fit, coef_order, ols_drivers
 from lanewise.operators.sharing import kept
-from lanewise.plans.prepare import parse, prepare
+from lanewise.plans.prepare import parse, prepared
 from lanewise.schema import OUTLIER_COLUMNS
 from lanewise.sources.delivery import read_cleaned, read_raw, write_cleaned
 
@@ -118,20 +118,20 @@ def read_raw_csv(spark, folder):
 @_query("read_cleaned", places=None)
 def read_cleaned_parquet(spark, folder):
     path = scratch_folder(spark)
-    write_cleaned(_prepared(spark, folder), path, cluster=False)
+    write_cleaned(_prepared(spark, folder).cleaned, path, cluster=False)
     return read_cleaned(spark, path)
 
 
 @_query("write_cleaned", places=None)
 def write_cleaned_csv(spark, folder):
     path = scratch_folder(spark)
-    write_cleaned(_prepared(spark, folder), path, fmt="csv")
+    write_cleaned(_prepared(spark, folder).cleaned, path, fmt="csv")
     return read_cleaned(spark, path, fmt="csv")
 
 
 def _prepared(spark, folder):
     staging = scratch_folder(spark)
-    return prepare(raw_lines(spark, folder), staging, EXTREME_UNIT_FREIGHT)
+    return prepared(raw_lines(spark, folder), staging, EXTREME_UNIT_FREIGHT)
 
 
 @_query("profile")
@@ -161,8 +161,7 @@ def quantile_table(spark, folder):
 
 @_query("decision_log")
 def decision_log(spark, folder):
-    raw = raw_lines(spark, folder)
-    return quality.decision_log(raw, _prepared(spark, folder)).select("field", "issue", "n")
+    return _prepared(spark, folder).decision_log()
 
 
 # ---- cleaning -----------------------------------------------------------------------
@@ -234,7 +233,7 @@ def zero_flag(spark, folder):
 
 @_query("iqr_outlier_flags")
 def iqr_outlier_flags(spark, folder):
-    rows = _prepared(spark, folder)
+    rows = _prepared(spark, folder).cleaned
     return quality.count_where(rows, {c: F.col(f"flag_{c}_outlier") for c in OUTLIER_COLUMNS})
 
 

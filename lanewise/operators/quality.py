@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,31 +49,53 @@ def narrow_dup_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataF
     )
 
 
-def _hashed(df: DataFrame) -> DataFrame:
-    """Rows with two 64-bit hashes of all their columns; equal rows have equal ones."""
-    return df.select(
-        "*", F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(7), *df.columns).alias("_h2")
-    )
+#: Two 64-bit hashes of a whole row, and a number that no other row of the table has.
+FIRST_HASH, SECOND_HASH, ROW = "_h1", "_h2", "_row"
+
+
+def hashed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows with two 64-bit hashes of ``columns`` (all by default); equal rows have equal ones."""
+    columns = df.columns if columns is None else columns
+    return df.withColumns({
+        FIRST_HASH: F.xxhash64(*columns), SECOND_HASH: F.xxhash64(F.lit(7), *columns),
+    })
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with a number each. Write them before use: recomputed rows get other numbers."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def _with_repeats(df: DataFrame) -> DataFrame:
-    """Hashed rows, ``_repeated`` true where another row has the same hashes.
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` hashed, numbered and kept as a table: its one scan. Later passes read a few of
+    the table's columns, or the few rows whose hashes repeat."""
+    return kept(numbered(hashed(df)), "staged")
 
-    Only hashes are shuffled to find out. The repeated ones are kept as a table, so Spark
-    broadcasts them while they are few, and whole rows then stay where they are.
+
+def repeated_hashes(table: DataFrame) -> DataFrame:
+    copies = table.groupBy(FIRST_HASH, SECOND_HASH).agg(F.count(F.lit(1)).alias("_rows"))
+    return copies.where(F.col("_rows") > 1).select(FIRST_HASH, SECOND_HASH)
+
+
+def surplus_rows(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``_row`` and ``columns`` of the rows of a staged table that repeat another one.
+
+    Only hashes are shuffled to find candidates, and whole rows only where hashes repeat. Of
+    equal rows the one of the least number isn't returned. The rest are removed by their
+    numbers, which are unique, so a row with any number of copies makes no hot key.
     """
-    hashed = _hashed(df)
-    again = kept(
-        hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > 1).select("_h1", "_h2", F.lit(True).alias("_repeated"))
+    alike = kept(
+        table.join(repeated_hashes(table), [FIRST_HASH, SECOND_HASH], "left_semi")
+        .select(ROW, *columns), "alike"
     )
-    return hashed.join(again, ["_h1", "_h2"], "left")
+    first = alike.groupBy(*columns).agg(F.min(ROW).alias(ROW)).select(ROW)
+    return alike.join(first, ROW, "left_anti")
 
 
-def full_row_dup_count(df: DataFrame, name: str = "full row") -> DataFrame:
-    """One row: how many rows repeat an earlier one in every column."""
-    rows = _with_repeats(df).where("_repeated").select(*df.columns)
-    return dup_count(rows, df.columns, name)
+def without(table: DataFrame, surplus: DataFrame) -> DataFrame:
+    """The rows of a staged table that aren't surplus, without the columns of staging."""
+    rows = table.join(surplus.select(ROW), ROW, "left_anti")
+    return rows.drop(FIRST_HASH, SECOND_HASH, ROW)
 
 
 def dup_counts(
@@ -80,23 +103,30 @@ def dup_counts(
     row_id: str = "ID",
     business_key: Sequence[str] = ("PO / SO #", "Item Description"),
 ) -> DataFrame:
-    """Surplus rows by ID, by the full row, and by the business key."""
+    """Surplus rows by ID, by the full row, and by the business key.
+
+    One scan of ``df`` keeps its hashes and keys; another one fetches the rows whose hashes
+    repeat, to compare them whole.
+    """
+    rows = hashed(df)
+    table = kept(rows.select(FIRST_HASH, SECOND_HASH, *dict.fromkeys([row_id, *business_key])),
+                 "keys")
     empty = reduce(DataFrame.unionByName, [
         df.limit(0).agg(F.lit(name).alias("field"), F.count(F.lit(1)).alias("n"))
         for name in ("ID", "business key")
     ])
-    narrow = narrow_dup_counts(df, {"ID": [row_id], "business key": list(business_key)})
+    narrow = narrow_dup_counts(table, {"ID": [row_id], "business key": list(business_key)})
     both = empty.unionByName(narrow.select("field", "n")).groupBy("field").agg(
         F.sum("n").alias("n"))
-    return both.unionByName(full_row_dup_count(df))
+    alike = rows.join(repeated_hashes(table), [FIRST_HASH, SECOND_HASH], "left_semi")
+    return both.unionByName(dup_count(alike, df.columns, "full row"))
 
 
 def dedup_full_row(df: DataFrame) -> DataFrame:
-    """One of each different row. Whole rows are only compared where their hashes repeat."""
-    rows = _with_repeats(df)
-    once = rows.where("_repeated is null").select(*df.columns)
-    more = rows.where("_repeated").dropDuplicates(["_h1", "_h2", *df.columns])
-    return once.unionByName(more.select(*df.columns))
+    """One of each different row. ``df`` is computed once; whole rows are only compared, and
+    shuffled, where their hashes repeat."""
+    table = staged(df)
+    return without(table, surplus_rows(table, df.columns)).select(*df.columns)
 
 
 def bad_date(flag_column: str, date: str, state: str = "date") -> Column:
@@ -260,6 +290,67 @@ def _log_rules() -> list[tuple[str, str, str, Column]]:
     return rules
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A line of the decision log: what is wrong with which rows, and what is done to them."""
+
+    field: str
+    issue: str
+    treatment: str
+    condition: Column
+    #: A rule that isn't standing is listed only if some row breaks it.
+    standing: bool = True
+
+
+def row_rules() -> list[Rule]:
+    """Rules that a parsed row breaks by itself."""
+    outliers = {f"flag_{name}_outlier, kept" for name in OUTLIER_COLUMNS}
+    return [Rule(*rule) for rule in _log_rules() if rule[2] not in outliers] + [
+        Rule(f"{name} Date", "year outside the plausible range", "flag_bad_date, value kept",
+             implausible_year(date), False)
+        for name, date in (("PQ", "pq_date"), ("PO", "po_date"), ("Scheduled", "scheduled_date"),
+                           ("Delivered", "delivered_date"), ("Recorded", "recorded_date"))
+    ]
+
+
+def outlier_rules() -> list[Rule]:
+    """Rules about values outside the fences, which take all rows to tell."""
+    outliers = {f"flag_{name}_outlier, kept" for name in OUTLIER_COLUMNS}
+    return [Rule(*rule) for rule in _log_rules() if rule[2] in outliers]
+
+
+def rule_counts(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates, all in one pass: the number of rows, and of those that break each rule."""
+    return [F.count(F.lit(1)).alias("rows")] + [
+        F.coalesce(F.sum(rule.condition.cast("long")), F.lit(0)).alias(f"r{i}")
+        for i, rule in enumerate(rules)
+    ]
+
+
+def duplicate_rules(id_copies: int, row_copies: int, key_copies: int) -> list[tuple]:
+    return [
+        ("ID", "repeated key", "counted only", id_copies),
+        ("full row", "exact duplicate", "first copy kept", row_copies),
+        ("business key", "repeated business key", "counted only", key_copies),
+    ]
+
+
+LOG = "field string, issue string, treatment string, n long"
+
+
+def log_lines(rules: Sequence[Rule], counts: Mapping[str, int]) -> list[tuple]:
+    return [
+        (rule.field, rule.issue, rule.treatment, counts[f"r{i}"])
+        for i, rule in enumerate(rules) if rule.standing or counts[f"r{i}"]
+    ]
+
+
+def copies_of(table: DataFrame, keys: Mapping[str, Sequence[str]]) -> dict[str, int]:
+    """How many rows repeat an earlier one in each key, from one pass over the keys."""
+    found = {r["field"]: r["n"] for r in narrow_dup_counts(table, keys).collect()}
+    return {name: found.get(name, 0) for name in keys}
+
+
 def decision_log(
     raw: DataFrame,
     cleaned: DataFrame,
@@ -269,48 +360,16 @@ def decision_log(
     """``(field, issue, treatment, n)``: 27 standing rules, and a row per date column that
     has implausible years.
 
-    Every rule over the cleaned rows is counted in the same pass. ``cleaned`` must be the
-    deduplicated ``raw``: exact duplicates are the difference of the two row counts, which
-    spares a second shuffle of whole rows.
+    This is for two tables at rest; ``plans.prepare.prepared`` counts the same while it makes
+    the second one. Every rule over the cleaned rows is counted in the same pass. ``cleaned``
+    must be the deduplicated ``raw``: exact duplicates are the difference of the row counts.
     """
-    def described(counted: DataFrame, issue: str, treatment: str) -> DataFrame:
-        return counted.select(
-            "field", F.lit(issue).alias("issue"), F.lit(treatment).alias("treatment"), "n"
-        )
-
-    always = _log_rules()
-    if_any = [
-        (f"{name} Date", "year outside the plausible range", "flag_bad_date, value kept",
-         implausible_year(date))
-        for name, date in (("PQ", "pq_date"), ("PO", "po_date"), ("Scheduled", "scheduled_date"),
-                           ("Delivered", "delivered_date"), ("Recorded", "recorded_date"))
-    ]
-    rules = always + if_any
-    counted = kept(cleaned.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(r[3]).alias(f"r{i}") for i, r in enumerate(rules)],
-    ))
+    rules = [*row_rules(), *outlier_rules()]
+    counts = cleaned.agg(*rule_counts(rules)).first().asDict()
     # One narrow pass over the raw rows for both keys and the number of rows.
-    repeats = narrow_dup_counts(raw, {"ID": [row_id], "business key": list(business_key)})
-    found = {r["field"]: r for r in repeats.collect()}
-    surplus = {field: found[field]["n"] if field in found else 0 for field in ("ID", "business key")}
+    keys = {"ID": [row_id], "business key": list(business_key)}
+    found = {r["field"]: r for r in narrow_dup_counts(raw, keys).collect()}
+    copies = {field: found[field]["n"] if field in found else 0 for field in keys}
     raw_rows = found["ID"]["rows"] if found else 0
-    duplicates = reduce(DataFrame.unionByName, [
-        described(counted.select(F.lit(field).alias("field"), n.cast("long").alias("n")), *text)
-        for field, n, text in (
-            ("ID", F.lit(surplus["ID"]), ("repeated key", "counted only")),
-            ("full row", F.lit(raw_rows) - F.col("rows"), ("exact duplicate", "first copy kept")),
-            ("business key", F.lit(surplus["business key"]),
-             ("repeated business key", "counted only")),
-        )
-    ])
-    rows = counted.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(field).alias("field"), F.lit(issue_).alias("issue"),
-            F.lit(treatment_).alias("treatment"), F.col(f"r{i}").alias("n"),
-            F.lit(i < len(always)).alias("standing"),
-        )
-        for i, (field, issue_, treatment_, _) in enumerate(rules)
-    ])))
-    rows = rows.where(F.col("standing") | (F.col("n") > 0)).drop("standing")
-    return duplicates.unionByName(rows)
+    lines = duplicate_rules(copies["ID"], raw_rows - counts["rows"], copies["business key"])
+    return raw.sparkSession.createDataFrame(lines + log_lines(rules, counts), LOG)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lanewise.functions.expressions import flag
@@ -20,16 +23,26 @@ from lanewise.functions.parsing import (
 from lanewise.operators.features import calendar, cycle_features, delay_features, unit_freight
 from lanewise.operators.ordering import BUCKETS
 from lanewise.operators.quality import (
+    LOG,
     bad_date,
+    copies_of,
     decision_log,
-    dedup_full_row,
+    duplicate_rules,
+    hashed,
     implausible_year,
     iqr_flags,
+    log_lines,
+    numbered,
+    outlier_rules,
     profile,
+    row_rules,
+    rule_counts,
+    surplus_rows,
     unparsed,
     value_counts,
+    without,
 )
-from lanewise.operators.sharing import new_folder
+from lanewise.operators.sharing import kept, new_folder
 from lanewise.sources.delivery import write_by
 
 NUMBER_COLUMNS = {
@@ -107,34 +120,97 @@ def parse(raw: DataFrame, extreme_unit_freight: float = 10_000) -> DataFrame:
     return unit_freight(df, extreme=extreme_unit_freight)
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A prepared table, and what was counted while it was made."""
+
+    cleaned: DataFrame
+    raw_rows: int
+    #: Staged rows, surplus ones included, and those of them that repeat another row.
+    table: DataFrame
+    surplus: DataFrame
+    #: Rows that break each of the ``row_rules``, by name of the aggregate, of different rows.
+    counts: dict[str, int]
+
+    def decision_log(
+        self, row_id: str = "ID", business_key: Sequence[str] = ("PO / SO #", "Item Description")
+    ) -> DataFrame:
+        """``(field, issue, treatment, n)``, as ``operators.quality.decision_log`` gives it.
+
+        Neither the raw rows nor the cleaned ones are read again: most rules were counted as
+        the rows were written. Two narrow passes over the staged table remain, one for the
+        keys, one for the numbers that have fences.
+        """
+        copies = copies_of(self.table, {"ID": [row_id], "business key": list(business_key)})
+        outliers = outlier_rules()
+        flagged = self.cleaned.agg(*rule_counts(outliers)).first().asDict()
+        lines = duplicate_rules(
+            copies["ID"], self.raw_rows - self.counts["rows"], copies["business key"])
+        lines += log_lines(row_rules(), self.counts) + log_lines(outliers, flagged)
+        return self.cleaned.sparkSession.createDataFrame(lines, LOG)
+
+    def sheets(self) -> dict[str, DataFrame]:
+        """Decision log, profile and frequency tables."""
+        return {
+            "decision_log": self.decision_log(),
+            "profile": profile(self.cleaned, raw_rows=self.raw_rows),
+            "value_counts": value_counts(self.cleaned, FREQUENCIES),
+        }
+
+
+FREQUENCIES = ["Product Group", "Sub Classification", "delivery_year", "freight_flag"]
+
+
+def prepared(
+    raw: DataFrame,
+    staging: str | None = None,
+    extreme_unit_freight: float = 10_000,
+    buckets: int = BUCKETS,
+) -> Prepared:
+    """Deduplicate, parse, derive, flag outliers; ``raw`` is computed once.
+
+    All rows are parsed and written by year with hashes and numbers of theirs: to ``staging``,
+    or to a folder beside the session's checkpoints that ``sharing.release`` removes. The rules
+    of the log are counted in the tasks that write. Rows that repeat others are then found by
+    their hashes; they are left out by number when the table is read, and their share of
+    the counts is taken off. Fences need a pass over the numbers before values can be flagged.
+    Rows of a year lie together, so ``write_cleaned(..., cluster=False)`` needs no shuffle.
+    """
+    spark, columns, rules = raw.sparkSession, raw.columns, row_rules()
+    staging = staging or new_folder(spark, "staging")
+    # Only the year is parsed before the shuffle, which moves the raw columns alone.
+    by_year = parse(raw).select(*columns, F.col("delivery_year").alias("_year"))
+    by_year = by_year.hint("rebalance", "_year").drop("_year")
+    # Counted after the shuffle: in the stage that writes, each partition counts once, however
+    # often executors are lost.
+    seen = Observation()
+    rows = numbered(hashed(parse(by_year, extreme_unit_freight), columns))
+    write_by(rows.observe(seen, *rule_counts(rules)), staging, "delivery_year", cluster=False)
+    table = spark.read.schema(rows.schema).parquet(staging)
+    surplus = kept(surplus_rows(table, columns), "surplus")
+    total = seen.get
+    repeated = parse(surplus.select(*columns), extreme_unit_freight).agg(
+        *rule_counts(rules)).first().asDict()
+    counts = {name: total[name] - n for name, n in repeated.items()}
+    cleaned = iqr_flags(without(table, surplus), buckets=buckets)
+    return Prepared(cleaned, total["rows"], table, surplus, counts)
+
+
 def prepare(
     raw: DataFrame,
     staging: str | None = None,
     extreme_unit_freight: float = 10_000,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Deduplicate, parse, derive, flag outliers.
-
-    The fences need a pass over the parsed rows before they can be flagged, so the
-    deduplicated rows are written once, by year, and read back column by column: to
-    ``staging``, or to a folder beside the session's checkpoints that ``sharing.release``
-    removes. Rows read from there are already clustered by year, so
-    ``write_cleaned(..., cluster=False)`` needs no shuffle.
-    """
-    parsed = parse(dedup_full_row(raw), extreme_unit_freight)
-    staging = staging or new_folder(raw.sparkSession, "staging")
-    write_by(parsed, staging, "delivery_year")
-    parsed = raw.sparkSession.read.schema(parsed.schema).parquet(staging)
-    return iqr_flags(parsed, buckets=buckets)
+    """The cleaned rows of ``prepared``."""
+    return prepared(raw, staging, extreme_unit_freight, buckets).cleaned
 
 
 def prepare_sheets(raw: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
-    """Decision log, profile and frequency tables of a prepared table."""
+    """The sheets of ``Prepared`` for two tables at rest."""
     raw_rows = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
     return {
         "decision_log": decision_log(raw, cleaned),
         "profile": profile(cleaned, raw_rows=raw_rows),
-        "value_counts": value_counts(
-            cleaned, ["Product Group", "Sub Classification", "delivery_year", "freight_flag"]
-        ),
+        "value_counts": value_counts(cleaned, FREQUENCIES),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lanewise.functions import parsing
 from lanewise.functions.expressions import clip, flag, fraction_true
 from lanewise.operators import quality
-from lanewise.plans.prepare import parse, prepare, prepare_sheets
+from lanewise.plans.prepare import parse, prepare, prepare_sheets, prepared
 from lanewise.schema import CLEANED, RAW_COLUMNS
 from lanewise.sources.delivery import read_cleaned, read_raw, write_cleaned, write_sheets
 
@@ -148,6 +148,53 @@ def test_prepare(spark, raw, tmp_path):
         assert sorted(map(repr, back.select(*names).collect())) == expected
 
 
+def watched(df, folder):
+    """``df``, leaving a file in ``folder`` each time one of its partitions is computed."""
+    folder.mkdir()
+
+    def rows(batches):
+        import uuid
+
+        (folder / uuid.uuid4().hex).touch()
+        yield from batches
+
+    return df.mapInArrow(rows, df.schema)
+
+
+def test_raw_rows_are_computed_once(raw, tmp_path):
+    copies = raw.union(raw.where("ID in ('3', '13')")).union(raw.where("ID = '13'")).coalesce(2)
+    found = prepared(watched(copies, tmp_path / "a"), str(tmp_path / "staging"))
+    log = sorted(map(tuple, found.decision_log().collect()))
+    rows = found.cleaned.collect()
+    assert len(list((tmp_path / "a").iterdir())) == 2
+    assert len(rows) == len(CASES) - 1 and found.raw_rows == len(CASES) + 3
+    # The same lines as from the two tables at rest, whose counts are taken from all rows.
+    assert log == sorted(map(tuple, quality.decision_log(copies, found.cleaned).collect()))
+    assert dict((x[:2], x[3]) for x in log)["full row", "exact duplicate"] == 4
+    assert found.sheets()["profile"].first()["n_raw"] == len(CASES) + 3
+
+    once = quality.dedup_full_row(watched(copies, tmp_path / "b"))
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, raw.distinct().collect()))
+    assert len(list((tmp_path / "b").iterdir())) == 2
+    assert once.columns == raw.columns
+
+
+def test_equal_hashes_of_different_rows_stay(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, None), (1, None), (1, 2), (None, None)] * 3, "a int, b int")
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: F.lit(5).cast("long"))
+    assert quality.dedup_full_row(df).count() == 3
+    counts = {r["field"]: r["n"] for r in quality.dup_counts(df, "a", ["a", "b"]).collect()}
+    assert counts == {"ID": 10, "business key": 9, "full row": 9}
+
+
+def test_prepare_without_rows(raw, tmp_path):
+    nothing = prepared(raw.limit(0), str(tmp_path / "staging"))
+    assert nothing.cleaned.count() == 0 and nothing.raw_rows == 0
+    assert {r["n"] for r in nothing.decision_log().collect()} == {0}
+
+
 def test_parse_without_fences_needs_no_shuffle(raw):
     assert "Exchange" not in parse(raw)._jdf.queryExecution().executedPlan().toString()
 
