@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,37 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bits of a key filter for each key, and of the largest filter (16 MB).
+KEY_BITS, MOST_BITS = 16, 1 << 27
+
+
+def key_bits(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of a table's keys, which are hashes, for tasks to tell most other keys by.
+
+    It has ``KEY_BITS`` bits for each key, at most ``MOST_BITS`` in all, a power of two. With far
+    more keys it tells fewer apart; a join must follow in any case. Bits are set by a shuffle, so
+    the driver gets the bitmap and not the keys.
+    """
+    n = keys.count()
+    bits = min(MOST_BITS, 1 << max(16, (KEY_BITS * n - 1).bit_length() if n else 0))
+    slot = F.col(column).bitwiseAND(F.lit(bits - 1))
+    found = (
+        keys.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).cast("int").alias("place"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("word")).toArrow()
+    )
+    out = np.zeros(bits >> 6, dtype=np.int64)
+    out[found.column("place").to_numpy()] = found.column("word").to_numpy()
+    return out.view(np.uint64)
+
+
+def has_bit(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Of each 64-bit key: false only if it is none of the bitmap's keys."""
+    slot = keys.view(np.uint64) & np.uint64(64 * len(bitmap) - 1)
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(
+        1) == 1
+
+
 def maybe_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Most rows of ``df`` whose key isn't in ``keys`` go, before they are shuffled; no other.
 
@@ -71,7 +103,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter("u <> v").distinct(), "links",
     )
-    state = _state(links)
+    state, last = _state(links), None
     for _ in range(max_rounds):
         # Large star: larger neighbours of a node go to the least of the node and its neighbours.
         both = links.select("u", "v").union(links.select(F.col("v"), F.col("u")))
@@ -89,8 +121,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .union(star.select("u", F.col("m")))
             .filter("u <> v").distinct()
         )
-        after = written(small, "links")
-        links, before, state = after, state, _state(after)
+        path = scratch(links.sparkSession, "links")
+        small.write.parquet(path)
+        after = links.sparkSession.read.schema(small.schema).parquet(path)
+        # A round needs the links of the one before only.
+        if last is not None:
+            remove(links.sparkSession, last)
+        links, last, before, state = after, path, state, _state(after)
         if state == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
