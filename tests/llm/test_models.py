@@ -34,7 +34,7 @@ def test_scores_of_held_out_documents(spark, operator, name):
     assert all(r["predicted"] == (r["score"] >= cut) for r in rows)
     truth = {r["doc_id"]: r[name] for r in labels.collect()}
     assert accuracy(rows, truth, 0) > 0.9
-    assert accuracy(rows, truth, 1) > (0.9 if name == "quality" else 0.4)
+    assert accuracy(rows, truth, 1) > (0.9 if name == "quality" else 0.8)
 
 
 @pytest.mark.parametrize("operator", [quality_model, toxicity])
@@ -255,3 +255,133 @@ def test_rare_expressions_count_in_large_tables(spark, monkeypatch):
         monkeypatch.setattr(module, "HOT_GRAMS", most)
         score = {r["doc_id"]: r["score"] for r in toxicity(docs, truth).collect()}
         assert score[one] > 0.5 > score[two] and score[one] > score[two] + 0.2
+
+
+def packed(sequence):
+    """Bytes as the integer that stands for them, first byte highest."""
+    return int.from_bytes(bytes(sequence), "big")
+
+
+def brute_letter_models(counted):
+    """p(class, byte, context) by dictionaries; ``counted`` has (word, toxic, ordinary) rows.
+
+    ``class`` is shared, toxic or ordinary; a context is at most five bytes.
+    """
+    from collections import Counter, defaultdict
+
+    from lanewise.llm.toxicity import BYTES, CLASS_DISCOUNTS, DISCOUNT, ORDER
+
+    occurs = {"toxic": defaultdict(Counter), "ordinary": defaultdict(Counter)}
+    before = defaultdict(set)
+    shared = defaultdict(Counter)
+    for word, *numbers in counted:
+        flat = f" {word} ".encode()
+        for at in range(1, len(flat)):
+            for size in range(1, min(ORDER, at + 1) + 1):
+                start = at + 1 - size
+                context, byte = flat[start:at], flat[at]
+                for kind, n in zip(("toxic", "ordinary"), numbers, strict=True):
+                    occurs[kind][context][byte] += n
+                if not sum(numbers):
+                    continue
+                if size == ORDER or start == 0:
+                    shared[context][byte] += sum(numbers)
+                else:
+                    before[context, byte].add(flat[start - 1])
+    for (context, byte), lefts in before.items():
+        shared[context][byte] += len(lefts)
+
+    def taken(n):
+        return 0.0 if n == 0 else CLASS_DISCOUNTS[min(n, len(CLASS_DISCOUNTS)) - 1]
+
+    def left(kind, context):
+        counts = occurs[kind][context]
+        total = sum(counts.values())
+        return sum(map(taken, counts.values())) / total if total else 1.0
+
+    def p(kind, byte, context):
+        if kind == "shared":
+            less = p(kind, byte, context[1:]) if context else 1 / BYTES
+            counts = shared[context]
+            total = sum(counts.values())
+            if not total:
+                return less
+            types = sum(n > 0 for n in counts.values())
+            return (max(counts[byte] - DISCOUNT, 0) + DISCOUNT * types * less) / total
+        if not any(sum(occurs[k][context].values()) for k in occurs):
+            return p(kind, byte, context[1:]) if context else 1 / BYTES
+        most = max(left(k, context) for k in occurs)
+        own = 0.0
+        if most < 1:
+            counts = occurs[kind][context]
+            own = (counts[byte] - taken(counts[byte])) / sum(counts.values())
+            own *= (1 - most) / (1 - left(kind, context))
+        return own + most * p("shared", byte, context)
+
+    return p
+
+
+def test_letter_models_equal_a_textbook_model_and_add_up(spark):
+    """Fit counts are others than those of the scores; words without counts have their say too."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lanewise.llm.toxicity import EDGE, log_ratios, probabilities, sequence_counts
+
+    dice = random.Random(8)
+    words = sorted({"".join(dice.choice("abcd") for _ in range(dice.randrange(1, 9)))
+                    for _ in range(150)} | {"é", "longestword"})
+    counted = [(w, dice.randrange(4), dice.choice([0, 0, 1, 2, 9])) for w in words]
+    rows = [(w, 1, t, o, t // 2, o // 2) for w, t, o in counted]
+    frame = spark.createDataFrame(
+        rows, "word string, n long, toxic long, ordinary long, toxic_fit long, ordinary_fit long")
+    counts = sequence_counts(frame)
+    model = brute_letter_models(counted)
+    fit = brute_letter_models([(w, t, o) for w, _, _, _, t, o in rows])
+    for row in log_ratios(counts).collect():
+        size = (row.gram.bit_length() + 7) // 8
+        *context, byte = row.gram.to_bytes(size, "big")
+        context = bytes(context)
+        for p, ratio in ((model, row.ratio), (fit, row.ratio_fit)):
+            wanted = math.log(p("toxic", byte, context) / p("ordinary", byte, context))
+            assert ratio == pytest.approx(wanted, abs=1e-9)
+
+    # With every byte listed after some contexts, each model's probabilities add up to 1.
+    contexts = [(EDGE,), (EDGE, 97), tuple(b"abcda"), tuple(b"zzzzz")]
+    filler = spark.createDataFrame(
+        [(packed((*c[k:], b)),) for c in contexts for k in range(len(c) + 1)
+         for b in range(1, 256)], "gram long"
+    ).select("gram", *(F.lit(0).cast("long").alias(c) for c in counts.columns[1:]))
+    summed = counts.union(filler).groupBy("gram").agg(
+        *(F.sum(c).alias(c) for c in counts.columns[1:]))
+    for order, table in probabilities(summed).items():
+        context = F.shiftright("gram", 8)
+        full = table.groupBy(context.alias("context")).agg(
+            F.count("*").alias("n"), *(F.sum(c).alias(c) for c in table.columns[2:]))
+        full = full.filter("n = 255").collect()
+        assert full or order == 4
+        for row in full:
+            assert all(row[c] == pytest.approx(1.0, abs=1e-9) for c in table.columns[2:])
+
+
+def test_an_expression_of_the_fitting_fold_only_is_known(spark):
+    """Every label that isn't held out is counted, and the same expression found elsewhere."""
+    from lanewise.llm.toxicity import FIT_FOLD
+
+    def fold(i):
+        return zlib.crc32(str(i).encode()) % 5
+
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        bad = "grobble" if fold(i) == FIT_FOLD else "snarkle"
+        docs.append((i, f"{prose(i, 30)} {bad if toxic else 'kind'} {prose(i + 1000, 20)}"))
+        if not (toxic and fold(i) == 0):
+            labels.append((i, int(toxic)))
+    docs.append((1001, prose(2001, 30) + " grobble " + prose(2002, 20)))
+    docs.append((1002, prose(2003, 30) + " kind " + prose(2004, 20)))
+    rows = {r.doc_id: r for r in toxicity(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert rows[1001].score > 10 * rows[1002].score
