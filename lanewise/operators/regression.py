@@ -59,22 +59,39 @@ def _complete(
     return df.select(*categorical, F.when(known, F.array(*numbers)).alias("_x"))
 
 
-def cross_moments(
-    rows: DataFrame, numeric: Sequence[str], categorical: Mapping[str, str]
+def level_cells(
+    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
 ) -> DataFrame:
-    """``(term_a, term_b, moment)``, the non-zero upper part of [X y]'[X y].
+    """Per combination of levels: ``_n`` rows, means ``_a``, and sums of products ``_c`` about them.
 
-    Sums are first taken per combination of levels; that is the only pass over the rows and
-    it combines before shuffling. Each combination then contributes to the handful of
-    entries its own terms meet in, so the work does not grow with the number of levels.
+    This is the only pass over the rows, and it combines before shuffling. Spark merges means
+    and centred products pairwise, so a mean far from 0 costs no digits of the deviations.
     """
     x = [F.col("_x")[i] for i in range(len(numeric) + 1)]
-    products = {(i, j): f"_m{i}_{j}" for i in range(len(x)) for j in range(i, len(x))}
-    cells = rows.groupBy(*categorical).agg(
-        F.count("_x").cast("double").alias("_n"),
-        *[F.sum(number).alias(f"_s{i}") for i, number in enumerate(x)],
-        *[F.sum(x[i] * x[j]).alias(a) for (i, j), a in products.items()],
+    n = F.count("_x").cast("double")
+    return rows.groupBy(*categorical).agg(
+        n.alias("_n"),
+        *[F.avg(number).alias(f"_a{i}") for i, number in enumerate(x)],
+        *[(n * F.covar_pop(x[i], x[j])).alias(f"_c{i}_{j}")
+          for i in range(len(x)) for j in range(i, len(x))],
     ).where(F.col("_n") > 0)
+
+
+def cross_moments(
+    cells: DataFrame, numeric: Sequence[str], categorical: Mapping[str, str],
+    centre: Sequence[float],
+) -> DataFrame:
+    """``(term_a, term_b, moment)``, the non-zero upper part of [X y]'[X y].
+
+    Numbers and response are taken less their ``centre``. Each combination of levels
+    contributes to the handful of entries its own terms meet in, so the work does not grow
+    with the number of levels.
+    """
+    off = [F.col(f"_a{i}") - F.lit(c) for i, c in enumerate(centre)]
+    products = {
+        (i, j): F.col(f"_c{i}_{j}") + F.col("_n") * off[i] * off[j]
+        for i in range(len(off)) for j in range(i, len(off))
+    }
     present: list[Column] = [F.lit(INTERCEPT)]
     for name, base in categorical.items():
         level = F.col(name).cast("string")
@@ -91,9 +108,9 @@ def cross_moments(
         for i in range(len(present)) for j in range(i, len(present))
     ]
     entries += [
-        entry(term, name, F.col(f"_s{k}")) for term in present for k, name in enumerate(names)
+        entry(term, name, F.col("_n") * off[k]) for term in present for k, name in enumerate(names)
     ]
-    entries += [entry(names[i], names[j], F.col(a)) for (i, j), a in products.items()]
+    entries += [entry(names[i], names[j], a) for (i, j), a in products.items()]
     return (
         cells.select(F.inline(F.array(*entries)))
         .where(F.col("term_a").isNotNull() & F.col("term_b").isNotNull())
@@ -101,18 +118,34 @@ def cross_moments(
     )
 
 
-def _solve(gram: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Coefficients, inverse and rank; minimum-norm solution if terms are collinear."""
+def _solve(
+    gram: np.ndarray, right: np.ndarray, centre: np.ndarray, mean: float, tss: float
+) -> tuple[np.ndarray, np.ndarray, int, float]:
+    """Coefficients, inverse, rank and residual sum; terms come less their ``centre``.
+
+    Coefficients and inverse are returned for the terms as they are, of which the first is
+    the intercept, and for the response with its ``mean``. If terms are collinear, the
+    solution is that of minimum norm.
+    """
     scale = 1 / np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
-    balanced = gram * np.outer(scale, scale)
-    rank = int(np.sum(np.linalg.eigvalsh(balanced) > 1e-11 * len(gram)))
-    if rank == len(gram):
-        inverse = np.linalg.inv(balanced) * np.outer(scale, scale)
-        return scale * np.linalg.solve(balanced, scale * right), inverse, rank
-    roots, vectors = np.linalg.eigh(gram)
-    kept = vectors[:, len(gram) - rank:]
-    inverse = (kept / roots[len(gram) - rank:]) @ kept.T
-    return inverse @ right, inverse, rank
+    roots, vectors = np.linalg.eigh(gram * np.outer(scale, scale))
+    vectors = vectors * scale[:, None]
+    null = int(np.sum(roots <= 1e-11 * len(gram)))
+    shift = np.eye(len(gram))
+    shift[0] -= centre
+    inverse = (vectors[:, null:] / roots[null:]) @ vectors[:, null:].T
+    beta = inverse @ right
+    if not null:
+        beta = scale * np.linalg.solve(gram * np.outer(scale, scale), scale * right)
+    rss = max(tss - 2 * beta @ right + beta @ gram @ beta, 0.0)
+    whole = shift @ beta
+    whole[0] += mean
+    if null:
+        # Back in the terms as they are, what lies along collinear combinations goes.
+        along, _ = np.linalg.qr(shift @ vectors[:, :null])
+        shift = shift - along @ (along.T @ shift)
+        whole = whole - along @ (along.T @ whole)
+    return whole, shift @ inverse @ shift.T, len(gram) - null, float(rss)
 
 
 def ols(
@@ -125,19 +158,23 @@ def ols(
 ) -> Fit:
     """Ordinary least squares of ``response`` on dummies and numeric columns.
 
-    ``categorical`` maps a column to its base level. Rows with any null are dropped. Two
-    passes over the kept rows: cross moments, then residuals. Only the p x p moments reach the
-    driver; more than ``max_terms`` terms are refused before anything is fetched.
+    ``categorical`` maps a column to its base level. Rows with any null are dropped. The rows
+    are read once; residuals follow from the moments. Only the p x p moments reach the driver;
+    more than ``max_terms`` terms are refused before anything is fetched.
     """
     spark = df.sparkSession
-    rows = kept_rows(_complete(df, response, numeric, list(categorical)))
+    rows = _complete(df, response, numeric, list(categorical))
+    cells = kept_rows(level_cells(rows, numeric, list(categorical)))
+    means = cells.agg(*(
+        (F.sum(F.col("_n") * F.col(f"_a{i}")) / F.sum("_n")) for i in range(len(numeric) + 1)
+    )).first()
+    if means[0] is None:
+        raise ValueError("no complete rows")
     limit = (max_terms + 1) * (max_terms + 2) // 2
-    entries = cross_moments(rows, numeric, categorical).limit(limit + 1).collect()
+    entries = cross_moments(cells, numeric, categorical, means).limit(limit + 1).collect()
     if len(entries) > limit:
         raise ValueError(f"more than {max_terms} terms")
     moments = {(e["term_a"], e["term_b"]): e["moment"] for e in entries}
-    if not moments:
-        raise ValueError("no complete rows")
     dummies = {term for pair in moments for term in pair} - {INTERCEPT, _RESPONSE, *numeric}
     terms = [INTERCEPT]
     for name in categorical:
@@ -150,25 +187,14 @@ def ols(
     gram = np.array([[moment(a, b) for b in terms] for a in terms])
     right = np.array([moment(a, _RESPONSE) for a in terms])
     n = int(moments[INTERCEPT, INTERCEPT])
-    beta, inverse, rank = _solve(gram, right)
-    found = dict(zip(terms, beta.tolist()))
-
-    fitted: Column = F.lit(found[INTERCEPT])
-    for name in categorical:
-        steps = {t: found[t] for t in terms if t.startswith(f"{name}[")}
-        if steps:
-            table = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair])
-            term = F.concat(F.lit(f"{name}["), F.col(name).cast("string"), F.lit("]"))
-            fitted = fitted + F.coalesce(F.try_element_at(table, term), F.lit(0.0))
-    for i, name in enumerate(numeric):
-        fitted = fitted + F.lit(found[name]) * F.col("_x")[i]
-    observed = F.col("_x")[len(numeric)]
-    residual = observed - fitted
-    off_mean = observed - F.lit(moment(INTERCEPT, _RESPONSE) / n)
-    sums = rows.agg(
-        F.sum(residual * residual).alias("rss"), F.sum(off_mean * off_mean).alias("tss")
-    ).first()
-    rss, tss = sums["rss"], sums["tss"]
+    # A number without deviations has sums of rounding errors.
+    for i, (name, mean) in enumerate(zip(numeric, means), len(terms) - len(numeric)):
+        if moment(name, name) <= n * (1e-14 * mean) ** 2:
+            gram[i, :] = gram[:, i] = right[i] = 0.0
+    off = np.zeros(len(terms))
+    off[len(terms) - len(numeric):] = means[:-1]
+    tss = moment(_RESPONSE, _RESPONSE)
+    beta, inverse, rank, rss = _solve(gram, right, off, means[-1], tss)
 
     df_resid, df_model = n - rank, rank - 1
     variance = rss / df_resid if df_resid > 0 else math.nan
@@ -179,7 +205,8 @@ def ols(
         t = b / error if error > 0 else math.nan
         p = t_two_sided(t, df_resid) if df_resid > 0 and not math.isnan(t) else math.nan
         coefficients.append(
-            (term, b, error, t, p, b - reach * error, b + reach * error, math.exp(b))
+            (term, b, error, t, p, b - reach * error, b + reach * error,
+             math.exp(b) if b < 709 else math.inf)
         )
     r2 = 1 - rss / tss if tss > 0 else math.nan
     f = math.nan

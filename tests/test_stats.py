@@ -191,6 +191,40 @@ def test_ols_survives_collinear_terms(spark):
     np.testing.assert_allclose([found["Intercept"], found["x1"], found["x2"]], expected, rtol=1e-8)
 
 
+def test_ols_keeps_its_digits_far_from_zero(spark):
+    """Means a million times the deviations, a constant column and a rare level."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=600)
+    mode = np.where(np.arange(600) % 50 == 0, "Truck", np.where(rng.random(600) < 0.4, "Air", "Ocean"))
+    y = 0.7 * x + (mode == "Ocean") * 0.3 + rng.normal(size=600)
+    far, high = x + 1e6, y + 1e6
+    x, y = far - 1e6, high - 1e6  # as the stored numbers have them
+    df = spark.createDataFrame(
+        [(str(m), float(a), 5.5e5, float(b)) for m, a, b in zip(mode, far, high)],
+        "mode string, x double, c double, y double").repartition(7)
+    design = np.column_stack([np.ones(600), mode == "Ocean", mode == "Truck", x]).astype(float)
+    beta, rss, *_ = np.linalg.lstsq(design, y, rcond=None)
+    error = np.sqrt(np.diag(np.linalg.inv(design.T @ design)) * rss[0] / 596)
+    fit = ols(df, "y", ["x"], {"mode": "Air"})
+    found = {r["term"]: r for r in fit.coefficients.collect()}
+    for i, term in enumerate(["Intercept", "mode[Ocean]", "mode[Truck]", "x"]):
+        if i:
+            assert found[term]["coef"] == pytest.approx(beta[i], rel=1e-9)
+            assert found[term]["std_err"] == pytest.approx(error[i], rel=1e-9)
+    whole = beta[0] + 1e6 - beta[3] * 1e6
+    assert found["Intercept"]["coef"] == pytest.approx(whole, rel=1e-9)
+    summary = fit.summary.first()
+    assert (summary["rank"], summary["collinear"]) == (4, False)
+    assert summary["rss"] == pytest.approx(rss[0], rel=1e-9)
+    assert summary["tss"] == pytest.approx(((y - y.mean()) ** 2).sum(), rel=1e-9)
+    # A column that is constant changes nothing but the rank's report.
+    twin = ols(df, "y", ["x", "c"], {"mode": "Air"})
+    summary = twin.summary.first()
+    assert summary["collinear"] and summary["rank"] == 4
+    found = {r["term"]: r["coef"] for r in twin.coefficients.collect()}
+    assert found["x"] == pytest.approx(beta[3], rel=1e-9)
+
+
 def test_ols_refuses_too_many_terms(spark):
     df = spark.range(200).select(
         F.concat(F.lit("l"), "id").alias("c"), F.rand(1).alias("x"), F.rand(2).alias("y"))
