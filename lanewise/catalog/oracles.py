@@ -752,6 +752,22 @@ def all_oracles() -> dict[str, str]:
     heads["top_bottom"] = _lines(f"""SELECT 'top' AS part, rank, vendor, {_r('score')}
       FROM scored WHERE rank <= 20 UNION ALL SELECT 'bottom', rank, vendor, {_r('score')}
       FROM scored WHERE rank > (SELECT count(*) FROM scored) - 10""", _CARD)
+    month = "strftime(date_trunc('month', delivered_date), '%Y-%m-%d')"
+    parts = [
+        ("all", "NULL", "NULL", "delay_days"), ("mode", "mode", "NULL", "delay_days"),
+        ("product", "product", "NULL", "delay_days"), ("country", "country", "NULL", "delay_days"),
+        ("terms", "terms", "NULL", "delay_days"), ("vendor", "vendor", "NULL", "delay_days"),
+        ("delivered_date", month, "NULL", "delay_days"),
+        ("country, mode", "country", "mode", "delay_days"),
+    ] + [("segment", f"'{s}'", "NULL", s) for s in (
+        "c1_pq2po", "c2_po2sched", "c3_sched2deliv", "c_total")]
+    heads["day_cube"] = _lines(
+        "SELECT grouping, key_0, key_1, day, count(*) AS n FROM listed "
+        "WHERE grouping <> 'segment' OR day IS NOT NULL GROUP BY ALL",
+        "listed AS (" + " UNION ALL ".join(
+            f"SELECT '{name}' AS grouping, CAST({a} AS VARCHAR) AS key_0, "
+            f"CAST({b} AS VARCHAR) AS key_1, CAST({day} AS BIGINT) AS day FROM lines"
+            for name, a, b, day in parts) + ")")
     heads["top_n_by_count"] = _lines(f"""SELECT country, count(*) AS n,
       {_r('quantile_cont(delay_days, 0.5)', 'median')} FROM lines GROUP BY country
       ORDER BY n DESC, country LIMIT 10""")

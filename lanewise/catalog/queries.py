@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lanewise.catalog.tables import (
     EXTREME_UNIT_FREIGHT,
+    ROLES,
     delivery_lines,
     raw_lines,
     scratch_folder,
@@ -33,6 +34,7 @@ from lanewise.operators.features import (
 from lanewise.operators.regression import Fit, coef_order, ols_drivers
 from lanewise.operators.sharing import kept
 from lanewise.plans.prepare import parse, prepared
+from lanewise.plans.timeliness import timeliness_cube
 from lanewise.schema import OUTLIER_COLUMNS
 from lanewise.sources.delivery import read_cleaned, read_raw, write_cleaned
 
@@ -367,6 +369,20 @@ def monthly_trend(spark, folder):
 _SEGMENTS = ["c1_pq2po", "c2_po2sched", "c3_sched2deliv", "c_total"]
 
 
+@_query("day_cube", places=None)
+def day_cube_counts(spark, folder):
+    """The day counts of all groupings of the timeliness stage."""
+    rows = delivery_lines(
+        spark, folder, [*GROUPS, "vendor", "delivered_date", "delay_days", *_SEGMENTS])
+    cube = timeliness_cube(rows, ROLES)
+    names = F.create_map(*[
+        F.lit(x) for keys, number in cube.groupings.items()
+        for x in (number, ", ".join(keys) or "all")
+    ], F.lit(len(cube.groupings)), F.lit("segment"))
+    return cube.counts.select(
+        names[F.col("grouping")].alias("grouping"), "key_0", "key_1", "day", "n")
+
+
 @_query("cycle_segments")
 def cycle_segments(spark, folder):
     return metrics.cycle_segments(delivery_lines(spark, folder, _SEGMENTS))

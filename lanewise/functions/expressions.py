@@ -31,6 +31,11 @@ def positive_part(value: Column) -> Column:
     return F.when(value > 0, value)
 
 
+def row_count(weight: str | None = None) -> Column:
+    """Aggregate: the number of rows, or of rows that counts in ``weight`` stand for."""
+    return F.count(F.lit(1)) if weight is None else F.sum(F.col(weight))
+
+
 def exact_sum(value: Column) -> Column:
     """Aggregate: sum independent of row order, 0 for an all-null group.
 

@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.functions.expressions import clip, percentile_weighted
+from lanewise.functions.expressions import clip, percentile_weighted, row_count
 from lanewise.operators.metrics import day_counts
 from lanewise.operators.ordering import BUCKETS, numeric_rows, value_summary
 from lanewise.operators.sharing import kept
 
 
 def histogram(
-    df: DataFrame, value: str = "delay_days", low: int = -140, high: int = 160, width: int = 5
+    df: DataFrame,
+    value: str = "delay_days",
+    low: int = -140,
+    high: int = 160,
+    width: int = 5,
+    weight: str | None = None,
 ) -> DataFrame:
     """``(bin, start, n)`` of the clipped value; the last bin is closed on both sides."""
     bins = (high - low) // width
@@ -22,7 +27,7 @@ def histogram(
     position = F.least(F.floor((clipped - low) / width), F.lit(bins - 1)).cast("int")
     counted = (
         df.where(F.col(value).isNotNull()).groupBy(position.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(row_count(weight).alias("n"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(counted, "bin", "left").select(
@@ -50,9 +55,11 @@ def _boxes(points: DataFrame, value: str, weight, group: str) -> DataFrame:
     )
 
 
-def box_stats_days(df: DataFrame, group: str, days: str = "delay_days") -> DataFrame:
+def box_stats_days(
+    df: DataFrame, group: str, days: str = "delay_days", weight: str | None = None
+) -> DataFrame:
     """Box-plot numbers of a whole-day column, from counts per (group, day)."""
-    counts = day_counts(df, group, days)
+    counts = day_counts(df, group, days, weight)
     quartiles = counts.groupBy(group).agg(
         *[percentile_weighted(days, share, "n").alias(name)
           for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]

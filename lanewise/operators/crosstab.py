@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.functions.expressions import exact_sum, percentile_weighted
+from lanewise.functions.expressions import exact_sum, percentile_weighted, row_count
 from lanewise.operators.metrics import per_day
 from lanewise.operators.sharing import kept
 
@@ -27,19 +27,23 @@ def cell_mask(cells: DataFrame, value: str, n: str = "n", min_n: int = 30) -> Da
     return cells.withColumn(value, F.when(F.col(n) >= min_n, F.col(value)))
 
 
-def most_frequent(df: DataFrame, key: str, top: int) -> DataFrame:
+def most_frequent(df: DataFrame, key: str, top: int, weight: str | None = None) -> DataFrame:
     """``(key, n)`` of the ``top`` keys with most rows, ties by key."""
     return (
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        df.where(F.col(key).isNotNull()).groupBy(key).agg(row_count(weight).alias("n"))
         .orderBy(F.col("n").desc(), key).limit(top)
     )
 
 
 def top_n_by_count(
-    df: DataFrame, key: str, delay: str = "delay_days", top: int = 10
+    df: DataFrame,
+    key: str,
+    delay: str = "delay_days",
+    top: int = 10,
+    weight: str | None = None,
 ) -> DataFrame:
     """The most frequent keys, ordered by median delay."""
-    counts = kept(per_day(df.where(F.col(key).isNotNull()), delay, key))
+    counts = kept(per_day(df.where(F.col(key).isNotNull()), delay, key, weight=weight))
     sizes = counts.groupBy(key).agg(F.sum("_n").alias("n"))
     biggest = sizes.orderBy(F.col("n").desc(), key).limit(top)
     return (
@@ -57,13 +61,14 @@ def country_mode_heatmap(
     delay: str = "delay_days",
     min_n: int = 30,
     top: int = 15,
+    weight: str | None = None,
 ) -> DataFrame:
     """``(country, mode, n, median_delay)`` of the countries with most rows.
 
     ``n`` counts rows without a delay too; thin cells are blanked, not dropped.
     """
     placed = df.where(F.col(country).isNotNull() & F.col(mode).isNotNull())
-    counts = kept(per_day(placed, delay, country, mode))
+    counts = kept(per_day(placed, delay, country, mode, weight=weight))
     biggest = (
         counts.groupBy(country).agg(F.sum("_n").alias("rows"))
         .orderBy(F.col("rows").desc(), country).limit(top)

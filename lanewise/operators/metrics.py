@@ -1,8 +1,8 @@
 """Grouped measures of timeliness and cost.
 
 Whole-day columns are first counted per (group, day), with a partial count in each task, and
-percentiles are taken of these counts; the calendar bounds their number. Money and ratios use
-``value_summary``.
+percentiles are taken of these counts; the calendar bounds their number. With a ``weight`` the
+rows given are counts themselves (``cube.DayCube.rows``). Money and ratios use ``value_summary``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from lanewise.functions.expressions import (
     fraction_true,
     percentile_weighted,
     positive_part,
+    row_count,
 )
 from lanewise.operators.features import (
     SEGMENTS,
@@ -32,9 +33,11 @@ from lanewise.operators.sharing import kept
 MAX_CYCLE_DAYS = 2000
 
 
-def per_day(df: DataFrame, days: str, *keys: str | Column) -> DataFrame:
+def per_day(
+    df: DataFrame, days: str, *keys: str | Column, weight: str | None = None
+) -> DataFrame:
     """``(keys, days, _n)``: how many rows each combination stands for, unknown days too."""
-    return df.groupBy(*keys, days).agg(F.count(F.lit(1)).alias("_n"))
+    return df.groupBy(*keys, days).agg(row_count(weight).alias("_n"))
 
 
 def _rows(where: Column | None = None) -> Column:
@@ -57,10 +60,12 @@ def _days(days: str, share: float) -> Column:
     return percentile_weighted(days, share, "_n")
 
 
-def delay_overview(df: DataFrame, delay: str = "delay_days") -> DataFrame:
+def delay_overview(
+    df: DataFrame, delay: str = "delay_days", weight: str | None = None
+) -> DataFrame:
     """One row: on-time share of all rows, centre, early share, lateness of late rows."""
     days = F.col(delay)
-    counts = per_day(df, delay).withColumn("_late", positive_part(days))
+    counts = per_day(df, delay, weight=weight).withColumn("_late", positive_part(days))
     return counts.agg(
         F.coalesce(_rows(), F.lit(0)).alias("n"),
         _rows(days.isNotNull()).alias("delay_n"),
@@ -77,10 +82,12 @@ def delay_overview(df: DataFrame, delay: str = "delay_days") -> DataFrame:
     )
 
 
-def day_counts(df: DataFrame, group: str, delay: str = "delay_days") -> DataFrame:
+def day_counts(
+    df: DataFrame, group: str, delay: str = "delay_days", weight: str | None = None
+) -> DataFrame:
     """``(group, delay, n)``: the only shuffle over rows that group tests and tables need."""
     known = df.where(F.col(group).isNotNull() & F.col(delay).isNotNull())
-    return known.groupBy(group, delay).agg(F.count(F.lit(1)).alias("n"))
+    return known.groupBy(group, delay).agg(row_count(weight).alias("n"))
 
 
 def all_day_counts(
@@ -134,12 +141,17 @@ def delay_by_group(
 
 
 def late_by_vendor(
-    df: DataFrame, vendor: str = "Vendor", delay: str = "delay_days", min_n: int = 30, top: int = 10
+    df: DataFrame,
+    vendor: str = "Vendor",
+    delay: str = "delay_days",
+    min_n: int = 30,
+    top: int = 10,
+    weight: str | None = None,
 ) -> DataFrame:
     """Vendors with at least ``min_n`` late rows, most late rows first."""
     late = df.where((F.col(delay) > 0) & F.col(vendor).isNotNull())
     return (
-        per_day(late, delay, vendor).groupBy(vendor)
+        per_day(late, delay, vendor, weight=weight).groupBy(vendor)
         .agg(
             _rows().alias("late_n"),
             _days(delay, 0.5).alias("late_median"),
@@ -152,11 +164,15 @@ def late_by_vendor(
 
 
 def monthly_trend(
-    df: DataFrame, delivered: str = "delivered_date", delay: str = "delay_days"
+    df: DataFrame,
+    delivered: str = "delivered_date",
+    delay: str = "delay_days",
+    weight: str | None = None,
 ) -> DataFrame:
     known = df.where(F.col(delay).isNotNull() & F.col(delivered).isNotNull())
     return (
-        per_day(known, delay, F.trunc(delivered, "MM").alias("month")).groupBy("month")
+        per_day(known, delay, F.trunc(delivered, "MM").alias("month"), weight=weight)
+        .groupBy("month")
         .agg(
             _rows().alias("n"),
             _percent(F.col(delay) <= 0).alias("otd_pct"),
@@ -176,6 +192,10 @@ def segment_rows(
     if keep is not None:
         df = df.where(keep)
     stacked = df.select(*segments).unpivot([], list(segments), "segment", "days")
+    return in_cycle(stacked, max_days)
+
+
+def in_cycle(stacked: DataFrame, max_days: int = MAX_CYCLE_DAYS) -> DataFrame:
     return stacked.where((F.col("days") >= 0) & (F.col("days") < max_days))
 
 
@@ -186,7 +206,12 @@ def cycle_segments(
     keep: Column | None = None,
 ) -> DataFrame:
     """Per segment: n, median, mean, quartiles. ``keep`` optionally restricts the rows."""
-    counts = per_day(segment_rows(df, segments, max_days, keep), "days", "segment")
+    return segment_table(segment_rows(df, segments, max_days, keep))
+
+
+def segment_table(stacked: DataFrame, weight: str | None = None) -> DataFrame:
+    """``cycle_segments`` of segments that are stacked already."""
+    counts = per_day(stacked, "days", "segment", weight=weight)
     return counts.groupBy("segment").agg(
         _rows().alias("n"),
         _days("days", 0.5).alias("median"),
@@ -349,6 +374,7 @@ def otd_by(
     delay: str = "delay_days",
     min_n: int = 0,
     with_mean: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Summary pivot: n counts all rows of the group, also those without a delay."""
     measures = [
@@ -358,7 +384,7 @@ def otd_by(
     ]
     if with_mean:
         measures.append(_mean(delay).alias("mean_delay"))
-    counts = per_day(df.where(F.col(group).isNotNull()), delay, group)
+    counts = per_day(df.where(F.col(group).isNotNull()), delay, group, weight=weight)
     table = counts.groupBy(group).agg(*measures)
     return table.where(F.col("n") >= min_n).orderBy(F.col("otd_pct").desc(), group)
 
@@ -372,7 +398,11 @@ def unit_freight_pivot(
 
 
 def cycle_pivot(df: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
-    return cycle_segments(df, segments).select("segment", "n", "median", "mean")
+    return segment_pivot(segment_rows(df, segments))
+
+
+def segment_pivot(stacked: DataFrame, weight: str | None = None) -> DataFrame:
+    return segment_table(stacked, weight).select("segment", "n", "median", "mean")
 
 
 def supplier_summary(

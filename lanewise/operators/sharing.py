@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,10 +50,14 @@ def release(spark: SparkSession) -> int:
     return removed
 
 
-def kept(df: DataFrame, name: str = "kept") -> DataFrame:
-    """``df`` written once as Parquet in the shared folder, for several uses."""
+def kept(df: DataFrame, name: str = "kept", by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, for several uses.
+
+    Rows are put into one folder per value of the columns ``by``, so a filter on these reads
+    its own rows only; they have to be columns of few values.
+    """
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

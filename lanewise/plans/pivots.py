@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lanewise.operators.cube import DayCube, day_cube
+from lanewise.operators.features import SEGMENTS
 from lanewise.operators.metrics import (
-    cycle_pivot,
     freight_share_pivot,
+    in_cycle,
     otd_by,
+    segment_pivot,
     supplier_summary,
     unit_freight_pivot,
 )
@@ -24,14 +27,22 @@ def rounded(df: DataFrame, places: int = 2) -> DataFrame:
     })
 
 
-def pivot_sheets(cleaned: DataFrame, columns: Columns = Columns()) -> dict[str, DataFrame]:
+def pivot_sheets(
+    cleaned: DataFrame, columns: Columns = Columns(), cube: DayCube | None = None
+) -> dict[str, DataFrame]:
+    """The pivots. Pass the ``cube`` if ``timeliness.timeliness_cube`` was built already."""
     c = columns
+    cube = cube or day_cube(cleaned, [(c.mode,), (c.product,), (c.country,)], c.delay, SEGMENTS)
+
+    def on_time(group: str, **options) -> DataFrame:
+        return otd_by(cube.rows(group), group, c.delay, weight="n", **options)
+
     return {
-        "otd_by_mode": otd_by(cleaned, c.mode, c.delay, with_mean=True),
-        "otd_by_product": otd_by(cleaned, c.product, c.delay),
-        "otd_by_country": otd_by(cleaned, c.country, c.delay, min_n=100),
+        "otd_by_mode": on_time(c.mode, with_mean=True),
+        "otd_by_product": on_time(c.product),
+        "otd_by_country": on_time(c.country, min_n=100),
         "unit_freight_pivot": unit_freight_pivot(cleaned, c.mode, c.unit_freight),
-        "cycle_pivot": cycle_pivot(cleaned),
+        "cycle_pivot": segment_pivot(in_cycle(cube.stacked()), "n"),
         "supplier_summary": supplier_summary(cleaned, c.vendor, c.delay, c.value),
         "freight_share_pivot": freight_share_pivot(
             cleaned, c.mode, c.value, c.freight, c.freight_flag),
