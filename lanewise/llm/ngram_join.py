@@ -38,6 +38,8 @@ HOT = 32
 _FLUSH = 500_000
 #: Tokens for one reducing task, about 16 bytes each.
 _TASK_TOKENS = 4_000_000
+#: A class of more than this part of all rows is joined by broadcast; there are fewer of them.
+_HOT_CLASSES = 10_000
 
 
 def signature(tokens: np.ndarray) -> int:
@@ -297,7 +299,7 @@ def ngram_join(
     component are null. An empty table gives an empty result.
     """
     rows = written(set_classes(docs, size), "classes")
-    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     parts = max(shuffle_width(docs), int(total / _TASK_TOKENS) + 1)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,16 +347,28 @@ def ngram_join(
     own = rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     of_class = of_class.join(own, "class")
     least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = of_class.join(least, "component").select(
-        "class", "component_id",
+    of_class = written(of_class.join(least, "component").select(
+        "class", "component_id", "size",
         (F.col("size") - 1 + F.coalesce("other_links", F.lit(0))).alias("n_links"),
-    )
-    return rows.join(of_class, "class", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        .alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    ), "class-facts")
+    return _with_facts(rows, of_class, n_rows).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _with_facts(rows: DataFrame, of_class: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` with component_id and n_links of their class; without a class, doc_id and 0.
+
+    Rows without words and those of hot classes stay where they are: at most ``_HOT_CLASSES``
+    classes have more than that part of all rows, so these are broadcast at any size.
+    """
+    often = F.col("size") * _HOT_CLASSES > n_rows
+    hot = of_class.filter(often).drop("size")
+    some = rows.filter("class is not null")
+    rest = some.join(F.broadcast(hot.select("class")), "class", "left_anti")
+    none = rows.filter("class is null").select(
+        "*", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    seldom = rest.join(of_class.filter(~often).drop("size"), "class")
+    return none.unionByName(some.join(F.broadcast(hot), "class")).unionByName(seldom)
 
 
 def _distinct(
