@@ -51,6 +51,8 @@ def narrow_dup_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataF
 
 #: Two 64-bit hashes of a whole row, and a number that no other row of the table has.
 FIRST_HASH, SECOND_HASH, ROW = "_h1", "_h2", "_row"
+#: Most chunks of 4,096 row numbers that are broadcast, about 1 KB each at most.
+MARKED_CHUNKS = 1 << 17
 
 
 def hashed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -69,7 +71,36 @@ def numbered(df: DataFrame) -> DataFrame:
 def staged(df: DataFrame) -> DataFrame:
     """``df`` hashed, numbered and kept as a table: its one scan. Later passes read a few of
     the table's columns, or the few rows whose hashes repeat."""
-    return kept(numbered(hashed(df)), "staged")
+    return kept(numbered(hashed(df)), "staged", codec="zstd")
+
+
+def marks(numbers: DataFrame) -> DataFrame:
+    """``(_chunk, _words)``: the numbers of ``_row`` as a bit each, 64 words of 64 bits a chunk."""
+    spread = numbers.select(
+        F.shiftright(ROW, 12).alias("_chunk"),
+        F.shiftright(ROW, 6).bitwiseAND(F.lit(63)).cast("int").alias("_word"),
+        F.expr(f"shiftleft(1L, cast({ROW} & 63 as int))").alias("_bit"),
+    )
+    words = spread.groupBy("_chunk", "_word").agg(F.bit_or("_bit").alias("_bits"))
+    chunks = words.groupBy("_chunk").agg(
+        F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_words"))
+    return kept(chunks, "marks")
+
+
+def by_number(table: DataFrame, numbers: DataFrame, listed: bool) -> DataFrame:
+    """The rows of a staged table whose number is in ``numbers``, or isn't.
+
+    A bit a row is small enough to be broadcast for hundreds of millions of rows, so the wide
+    rows stay where they are; beyond ``MARKED_CHUNKS`` chunks Spark chooses the join.
+    """
+    bits = marks(numbers)
+    if bits.count() <= MARKED_CHUNKS:
+        bits = F.broadcast(bits)
+    word = F.shiftright(ROW, 6).bitwiseAND(F.lit(63)).cast("int")
+    found = F.getbit(F.try_element_at("_words", word), F.col(ROW).bitwiseAND(F.lit(63)).cast("int"))
+    rows = table.withColumn("_chunk", F.shiftright(ROW, 12)).join(
+        bits, "_chunk", "inner" if listed else "left")
+    return rows.where(F.coalesce(found, F.lit(0)) == int(listed)).select(*table.columns)
 
 
 def repeated_hashes(table: DataFrame) -> DataFrame:
@@ -77,24 +108,28 @@ def repeated_hashes(table: DataFrame) -> DataFrame:
     return copies.where(F.col("_rows") > 1).select(FIRST_HASH, SECOND_HASH)
 
 
+def alike_rows(table: DataFrame) -> DataFrame:
+    """The rows of a staged table whose hashes another row has too."""
+    hashes = [FIRST_HASH, SECOND_HASH]
+    numbers = table.select(*hashes, ROW).join(repeated_hashes(table), hashes, "left_semi")
+    return by_number(table, numbers.select(ROW), listed=True)
+
+
 def surplus_rows(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``_row`` and ``columns`` of the rows of a staged table that repeat another one.
 
-    Only hashes are shuffled to find candidates, and whole rows only where hashes repeat. Of
-    equal rows the one of the least number isn't returned. The rest are removed by their
+    Only hashes and numbers are shuffled to find candidates, and whole rows only where hashes
+    repeat. Of equal rows the one of the least number isn't returned. The rest are removed by their
     numbers, which are unique, so a row with any number of copies makes no hot key.
     """
-    alike = kept(
-        table.join(repeated_hashes(table), [FIRST_HASH, SECOND_HASH], "left_semi")
-        .select(ROW, *columns), "alike"
-    )
+    alike = kept(alike_rows(table).select(ROW, *columns), "alike")
     first = alike.groupBy(*columns).agg(F.min(ROW).alias(ROW)).select(ROW)
     return alike.join(first, ROW, "left_anti")
 
 
 def without(table: DataFrame, surplus: DataFrame) -> DataFrame:
     """The rows of a staged table that aren't surplus, without the columns of staging."""
-    rows = table.join(surplus.select(ROW), ROW, "left_anti")
+    rows = by_number(table, surplus.select(ROW), listed=False)
     return rows.drop(FIRST_HASH, SECOND_HASH, ROW)
 
 
@@ -105,12 +140,9 @@ def dup_counts(
 ) -> DataFrame:
     """Surplus rows by ID, by the full row, and by the business key.
 
-    One scan of ``df`` keeps its hashes and keys; another one fetches the rows whose hashes
-    repeat, to compare them whole.
+    ``df`` is computed once; of the kept rows, those whose hashes repeat are compared whole.
     """
-    rows = hashed(df)
-    table = kept(rows.select(FIRST_HASH, SECOND_HASH, *dict.fromkeys([row_id, *business_key])),
-                 "keys")
+    table = staged(df)
     empty = reduce(DataFrame.unionByName, [
         df.limit(0).agg(F.lit(name).alias("field"), F.count(F.lit(1)).alias("n"))
         for name in ("ID", "business key")
@@ -118,14 +150,13 @@ def dup_counts(
     narrow = narrow_dup_counts(table, {"ID": [row_id], "business key": list(business_key)})
     both = empty.unionByName(narrow.select("field", "n")).groupBy("field").agg(
         F.sum("n").alias("n"))
-    alike = rows.join(repeated_hashes(table), [FIRST_HASH, SECOND_HASH], "left_semi")
-    return both.unionByName(dup_count(alike, df.columns, "full row"))
+    return both.unionByName(dup_count(alike_rows(table), df.columns, "full row"))
 
 
-def dedup_full_row(df: DataFrame) -> DataFrame:
+def dedup_full_row(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """One of each different row. ``df`` is computed once; whole rows are only compared, and
-    shuffled, where their hashes repeat."""
-    table = staged(df)
+    shuffled, where their hashes repeat. Pass ``table`` if ``df`` has been staged already."""
+    table = staged(df) if table is None else table
     return without(table, surplus_rows(table, df.columns)).select(*df.columns)
 
 

@@ -50,14 +50,17 @@ def release(spark: SparkSession) -> int:
     return removed
 
 
-def kept(df: DataFrame, name: str = "kept", by: Sequence[str] = ()) -> DataFrame:
+def kept(
+    df: DataFrame, name: str = "kept", by: Sequence[str] = (), codec: str | None = None
+) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, for several uses.
 
     Rows are put into one folder per value of the columns ``by``, so a filter on these reads
-    its own rows only; they have to be columns of few values.
+    its own rows only; they have to be columns of few values. Wide tables take a denser
+    ``codec`` than the session's.
     """
     folder = new_folder(df.sparkSession, name)
-    df.write.partitionBy(*by).parquet(folder)
+    df.write.partitionBy(*by).parquet(folder, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
