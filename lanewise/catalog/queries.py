@@ -113,7 +113,8 @@ def _min_rows(group: str) -> int:
 @_query("read_raw")
 def read_raw_csv(spark, folder):
     path = scratch_folder(spark)
-    raw_lines(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+    raw_lines(spark, folder).write.option("header", True).option("escape", '"').csv(
+        path, compression="gzip")
     return read_raw(spark, path)
 
 
