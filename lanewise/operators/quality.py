@@ -49,18 +49,21 @@ def narrow_dup_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataF
     )
 
 
-#: Two 64-bit hashes of a whole row, and a number that no other row of the table has.
-FIRST_HASH, SECOND_HASH, ROW = "_h1", "_h2", "_row"
+#: A 64-bit hash of a whole row, and a number that no other row of the table has.
+HASH, ROW = "_hash", "_row"
+#: Leading bits of a hash by which most rows are told from the repeated ones: 16,384 chunks.
+PREFIX_BITS = 26
 #: Most chunks of 4,096 row numbers that are broadcast, about 1 KB each at most.
 MARKED_CHUNKS = 1 << 17
 
 
 def hashed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows with two 64-bit hashes of ``columns`` (all by default); equal rows have equal ones."""
-    columns = df.columns if columns is None else columns
-    return df.withColumns({
-        FIRST_HASH: F.xxhash64(*columns), SECOND_HASH: F.xxhash64(F.lit(7), *columns),
-    })
+    """Rows with a 64-bit hash of ``columns`` (all by default); equal rows have equal ones.
+
+    Rows with equal hashes are compared whole later on, so one hash is enough: among a billion
+    different rows it is expected to repeat less than once.
+    """
+    return df.withColumn(HASH, F.xxhash64(*(df.columns if columns is None else columns)))
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -74,12 +77,12 @@ def staged(df: DataFrame) -> DataFrame:
     return kept(numbered(hashed(df)), "staged", codec="zstd")
 
 
-def marks(numbers: DataFrame) -> DataFrame:
-    """``(_chunk, _words)``: the numbers of ``_row`` as a bit each, 64 words of 64 bits a chunk."""
-    spread = numbers.select(
-        F.shiftright(ROW, 12).alias("_chunk"),
-        F.shiftright(ROW, 6).bitwiseAND(F.lit(63)).cast("int").alias("_word"),
-        F.expr(f"shiftleft(1L, cast({ROW} & 63 as int))").alias("_bit"),
+def marks(numbers: DataFrame, number: Column) -> DataFrame:
+    """``(_chunk, _words)``: ``number`` of all rows as a bit each, 64 words of 64 bits a chunk."""
+    spread = numbers.select(number.alias("_number")).select(
+        F.shiftright("_number", 12).alias("_chunk"),
+        F.shiftright("_number", 6).bitwiseAND(F.lit(63)).cast("int").alias("_word"),
+        F.expr("shiftleft(1L, cast(_number & 63 as int))").alias("_bit"),
     )
     words = spread.groupBy("_chunk", "_word").agg(F.bit_or("_bit").alias("_bits"))
     chunks = words.groupBy("_chunk").agg(
@@ -87,42 +90,53 @@ def marks(numbers: DataFrame) -> DataFrame:
     return kept(chunks, "marks")
 
 
+def marked(df: DataFrame, number: Column, bits: DataFrame, listed: bool) -> DataFrame:
+    """The rows whose ``number`` is among the ``bits`` of ``marks``, or isn't."""
+    word = F.shiftright(number, 6).bitwiseAND(F.lit(63)).cast("int")
+    found = F.getbit(F.try_element_at("_words", word), number.bitwiseAND(F.lit(63)).cast("int"))
+    rows = df.withColumn("_chunk", F.shiftright(number, 12)).join(
+        bits, "_chunk", "inner" if listed else "left")
+    return rows.where(F.coalesce(found, F.lit(0)) == int(listed)).select(*df.columns)
+
+
 def by_number(table: DataFrame, numbers: DataFrame, listed: bool) -> DataFrame:
     """The rows of a staged table whose number is in ``numbers``, or isn't.
 
     A bit a row is small enough to be broadcast for hundreds of millions of rows, so the wide
     rows stay where they are; beyond ``MARKED_CHUNKS`` chunks Spark chooses the join.
     """
-    bits = marks(numbers)
+    bits = marks(numbers, F.col(ROW))
     if bits.count() <= MARKED_CHUNKS:
         bits = F.broadcast(bits)
-    word = F.shiftright(ROW, 6).bitwiseAND(F.lit(63)).cast("int")
-    found = F.getbit(F.try_element_at("_words", word), F.col(ROW).bitwiseAND(F.lit(63)).cast("int"))
-    rows = table.withColumn("_chunk", F.shiftright(ROW, 12)).join(
-        bits, "_chunk", "inner" if listed else "left")
-    return rows.where(F.coalesce(found, F.lit(0)) == int(listed)).select(*table.columns)
+    return marked(table, F.col(ROW), bits, listed)
 
 
 def repeated_hashes(table: DataFrame) -> DataFrame:
-    copies = table.groupBy(FIRST_HASH, SECOND_HASH).agg(F.count(F.lit(1)).alias("_rows"))
-    return copies.where(F.col("_rows") > 1).select(FIRST_HASH, SECOND_HASH)
+    copies = table.groupBy(HASH).agg(F.count(F.lit(1)).alias("_rows"))
+    return copies.where(F.col("_rows") > 1).select(HASH)
 
 
 def alike_rows(table: DataFrame) -> DataFrame:
-    """The rows of a staged table whose hashes another row has too."""
-    hashes = [FIRST_HASH, SECOND_HASH]
-    numbers = table.select(*hashes, ROW).join(repeated_hashes(table), hashes, "left_semi")
-    return by_number(table, numbers.select(ROW), listed=True)
+    """The rows of a staged table whose hash another row has too.
+
+    The prefixes of repeated hashes are broadcast as bits, at most 2 ** ``PREFIX_BITS`` of them.
+    Rows without such a prefix aren't shuffled to be compared with the repeated hashes.
+    """
+    repeated = kept(repeated_hashes(table), "repeated")
+    prefix = F.shiftrightunsigned(HASH, 64 - PREFIX_BITS)
+    numbers = marked(
+        table.select(HASH, ROW), prefix, F.broadcast(marks(repeated, prefix)), listed=True
+    ).join(repeated, HASH)  # unique; Spark would move a semi join before the marks
+    return by_number(table, numbers, listed=True)
 
 
 def surplus_rows(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``_row`` and ``columns`` of the rows of a staged table that repeat another one.
 
-    Only hashes and numbers are shuffled to find candidates, and whole rows only where hashes
-    repeat. Of equal rows the one of the least number isn't returned. The rest are removed by their
+    Only hashes are shuffled to find candidates, and whole rows only where hashes repeat. Of equal rows the one of the least number isn't returned. The rest are removed by their
     numbers, which are unique, so a row with any number of copies makes no hot key.
     """
-    alike = kept(alike_rows(table).select(ROW, *columns), "alike")
+    alike = kept(alike_rows(table).select(ROW, *columns), "alike", codec="zstd")
     first = alike.groupBy(*columns).agg(F.min(ROW).alias(ROW)).select(ROW)
     return alike.join(first, ROW, "left_anti")
 
@@ -130,7 +144,7 @@ def surplus_rows(table: DataFrame, columns: Sequence[str]) -> DataFrame:
 def without(table: DataFrame, surplus: DataFrame) -> DataFrame:
     """The rows of a staged table that aren't surplus, without the columns of staging."""
     rows = by_number(table, surplus.select(ROW), listed=False)
-    return rows.drop(FIRST_HASH, SECOND_HASH, ROW)
+    return rows.drop(HASH, ROW)
 
 
 def dup_counts(

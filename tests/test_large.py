@@ -40,6 +40,31 @@ def test_rows_are_found_by_number(spark, tmp_path, monkeypatch):
         assert found == wanted and rest == set(range(20000)) - wanted
 
 
+def test_one_hash_of_a_row_is_stored(copies):
+    assert len(quality.staged(copies).columns) == len(copies.columns) + 2
+
+
+def test_rows_of_other_hashes_are_not_shuffled(spark, nothing_small, monkeypatch):
+    table = quality.staged(spark.range(0, 4000, 1, 3).selectExpr("id % 3990 AS a"))
+    alike = {}
+    monkeypatch.setattr(
+        quality, "by_number", lambda table, numbers, listed: alike.setdefault("numbers", numbers))
+    assert quality.alike_rows(table).count() == 20
+    # The marks meet the rows below the shuffle for the comparison with the repeated hashes.
+    shown = plan(alike["numbers"])
+    assert shown.index(f"Exchange hashpartitioning({quality.HASH}#") < shown.index("getbit")
+
+
+@pytest.mark.parametrize("bits", [1, 13, 26])
+def test_hashes_of_one_prefix_are_told_apart(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "PREFIX_BITS", bits)
+    df = spark.range(0, 3000, 1, 3).selectExpr("cast(id % 2000 as string) a", "null b")
+    df = df.withColumn("b", df["b"].cast("string"))
+    once = quality.dedup_full_row(df)
+    assert sorted(int(r["a"]) for r in once.collect()) == list(range(2000))
+    assert quality.alike_rows(quality.staged(df)).count() == 2000
+
+
 def test_duplicates_are_counted_from_one_computation(copies, tmp_path):
     found = quality.dup_counts(watched(copies, tmp_path / "seen")).collect()
     assert {r["field"]: r["n"] for r in found} == {"ID": 20, "business key": 59, "full row": 20}
@@ -101,6 +126,27 @@ def test_lines_are_not_shuffled_for_customers(spark, star, nothing_small):
     assert depth["o_custkey"] > depth["l_orderkey"]
 
 
+def test_lines_meet_orders_last_and_stay_for_suppliers(spark, star, nothing_small):
+    rows = raw_lines(spark, star)
+    shown = plan(rows)
+    depth = {
+        key: re.search(rf"^(\W*)Exchange hashpartitioning\({key}#", shown, re.M).end(1)
+        for key in ("l_partkey", "l_orderkey")
+    }
+    assert depth["l_partkey"] > depth["l_orderkey"]
+    assert "hashpartitioning(l_suppkey" not in shown and "BroadcastHashJoin" in shown
+    assert {(r["Vendor"], r["Vendor INCO Term"], r["Scheduled Delivery Date"])
+            for r in rows.collect()} == {("S", "AF", "1-Mar-06")}
+
+
+def test_many_suppliers_are_left_to_spark(spark, star, nothing_small, monkeypatch):
+    few = sorted(map(tuple, raw_lines(spark, star).collect()))
+    monkeypatch.setattr("lanewise.catalog.tables.NARROW_ROWS", 0)
+    rows = raw_lines(spark, star)
+    assert "hashpartitioning(l_suppkey" in plan(rows)
+    assert sorted(map(tuple, rows.collect())) == few
+
+
 def test_text_is_stored_compressed(spark, star):
     for name in ("read_raw", "write_cleaned"):
         rows = all_queries()[name](spark, star)
