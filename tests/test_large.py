@@ -8,9 +8,9 @@ import pytest
 from lanewise.catalog.queries import all_queries
 from lanewise.catalog.tables import raw_lines
 from lanewise.operators import ordering, quality
-from lanewise.plans.prepare import prepared
+from lanewise.plans.prepare import parse, prepared
 from lanewise.schema import RAW
-from lanewise.sources.delivery import OPEN_FILES, write_by
+from lanewise.sources.delivery import OPEN_FILES, wide_rows, write_by
 from tests.test_parsing import BASE, watched
 
 
@@ -77,6 +77,30 @@ def test_preparation_leaves_rows_in_their_tasks(copies, tmp_path):
     assert tasks == 3 and found.cleaned.count() == 40
 
 
+@pytest.mark.parametrize("by_year", [True, False])
+def test_raw_rows_are_staged_as_they_came(copies, tmp_path, by_year):
+    found = prepared(copies, str(tmp_path / "staging"), by_year=by_year)
+    stored = copies.sparkSession.read.parquet(str(tmp_path / "staging")).columns
+    # What can be parsed again is neither written nor read.
+    assert set(stored) - {"_year"} == {*RAW.names, quality.HASH, quality.ROW}
+    assert ("_year" in stored) == by_year
+    assert found.cleaned.count() == 40 and "_year" not in found.cleaned.columns + found.table.columns
+
+
+def test_parsing_copies_wide_rows_twice(copies):
+    shown = parse(copies)._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("Project [") == 2
+
+
+def test_settings_of_wide_writes_are_put_back(spark, copies, tmp_path):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), wide_rows(spark):
+        assert spark.conf.get(name) == "8000"
+        1 / 0
+    assert spark.conf.get(name) == before
+
+
 def test_ranks_compute_rows_once(spark, tmp_path):
     df = spark.range(0, 300, 1, 3).selectExpr("cast(id % 50 as double) v")
     ranks = ordering.value_ranks(watched(df, tmp_path / "seen"), "v").collect()
